@@ -5,7 +5,7 @@ an un-partitioned window moves every row into one task.  Here the rows are
 cut into key ranges: each row's range ("bucket") is a pure function of its
 key and a handful of literal range bounds, so
 
-1. a small count per bucket gives every bucket its starting offset, and
+1. a grouped count per bucket gives every bucket its starting offset, and
 2. ``row_number()`` runs per bucket, in parallel, on its own key range.
 
 Because the bucket is computed from the key alone (not from a partition id),
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 _BUCKET = "__bucket"
 
 # Upper bound on the number of key ranges: it bounds both the literal bounds
-# expression (a balanced comparison tree of depth log2) and the per-bucket
-# counts collected on the driver.
+# expression (a balanced comparison tree of depth log2) and the broadcast
+# table of per-bucket offsets.
 MAX_BUCKETS = 512
 # Rows up to which the plain one-partition window is used (count is checked).
 SINGLE_TASK_ROWS = 1_000_000
@@ -71,8 +71,9 @@ def assign_surrogate_keys(
     unique keys.  Runs a row count first; up to ``single_task_rows`` rows the
     plain window is used (its single task is then of checked, small size).
     Above that: a bounded key sample places at most ``max_buckets`` range
-    bounds, one aggregation counts rows per bucket (``<= max_buckets`` rows to
-    the driver), and the numbering is a window partitioned by bucket.
+    bounds, a grouped count per bucket turns into starting offsets (a
+    broadcast of at most ``max_buckets`` rows), and the numbering is a
+    window partitioned by bucket.
     Persist ``df`` first if it is expensive to recompute: it is scanned by the
     count, the sample, the bucket counts and the final plan.
     """
@@ -98,15 +99,19 @@ def assign_surrogate_keys(
     bounds = [_literal(v, order_cols) for v in picked]
     with_bucket = df.withColumn(_BUCKET, _bucket_expr(_key(order_cols), bounds))
 
-    counts = {r[_BUCKET]: r["n"] for r in with_bucket.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, running = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset_of = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_BUCKET) + F.lit(1))
-
+    # Offsets: rows in all lower buckets.  A grouped count gives <= max_buckets
+    # rows; a running sum over them (one small task, size bounded by
+    # max_buckets) is broadcast back -- no extra driver round trip.
+    counts = with_bucket.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(
+        _BUCKET,
+        (F.sum("__n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         - F.col("__n")).alias("__offset"),
+    )
     w = Window.partitionBy(_BUCKET).orderBy(*order)
-    numbered = with_bucket.withColumn(
-        id_col, F.row_number().over(w).cast("long") + offset_of + F.lit(start_after)
+    numbered = with_bucket.withColumn("__local", F.row_number().over(w).cast("long")).join(
+        F.broadcast(offsets), on=_BUCKET, how="inner"
     )
-    return numbered.drop(_BUCKET)
+    return numbered.withColumn(
+        id_col, F.col("__local") + F.col("__offset") + F.lit(start_after)
+    ).drop(_BUCKET, "__local", "__offset")

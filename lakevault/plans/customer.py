@@ -36,7 +36,15 @@ from lakevault.operators.hub import hub_new_rows
 from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.sources.params import load_params
 from lakevault.sources.snapshots import latest_snapshot, run_window, snapshot_date_from_parts
-from lakevault.sources.tables import ColumnSpec, TableSpec, append_rows, read_state, read_table, write_state
+from lakevault.sources.tables import (
+    ColumnSpec,
+    TableSpec,
+    append_rows,
+    materialize,
+    read_state,
+    read_table,
+    write_state,
+)
 
 # ---------------------------------------------------------------------------
 # Table names, column names, defaults and tokens of the
@@ -290,16 +298,39 @@ def empty_state(spark: SparkSession) -> VaultState:
 
 
 def load_day(state: VaultState, snapshot: DataFrame, ctx: LoadContext, sep: str = FIELD_SEPARATOR) -> VaultState:
-    """One run of all five loads, returning the new states lazily."""
-    hub = state.hub.unionByName(hub_rows(snapshot, state.hub, ctx).select(*HUB_SPEC.column_names))
-    general = state.general.unionByName(
-        general_rows(snapshot, state.general, ctx, sep=sep).select(*GENERAL_SPEC.column_names)
-    )
-    phone = state.phone.unionByName(phone_rows(snapshot, state.phone, ctx, sep=sep).select(*PHONE_SPEC.column_names))
-    email = state.email.unionByName(email_rows(snapshot, state.email, ctx, sep=sep).select(*EMAIL_SPEC.column_names))
+    """One run of all five loads; the new states are written once.
+
+    Each new state goes to the session's reliable checkpoint folder
+    (``spark.checkpoint.dir``) and is read back, so the next day's plans
+    start from stored data instead of replaying every earlier day, and a
+    lost executor never forces a replay of the whole history.
+    """
+    snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        hub = state.hub.unionByName(hub_rows(snapshot, state.hub, ctx).select(*HUB_SPEC.column_names))
+        general = state.general.unionByName(
+            general_rows(snapshot, state.general, ctx, sep=sep).select(*GENERAL_SPEC.column_names)
+        )
+        phone = state.phone.unionByName(
+            phone_rows(snapshot, state.phone, ctx, sep=sep).select(*PHONE_SPEC.column_names)
+        )
+        email = state.email.unionByName(
+            email_rows(snapshot, state.email, ctx, sep=sep).select(*EMAIL_SPEC.column_names)
+        )
+        hub, general, phone, email = (
+            materialize(df, label) for df, label in ((hub, "hub"), (general, "general"), (phone, "phone"), (email, "email"))
+        )
+    finally:
+        snapshot.unpersist()
     view = current_view(hub, general, phone)
-    dim = dimension_state(state.dim, view, ctx)
-    dim = dim.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in DIM_SPEC_TABLE.columns])
+    with_unknown = ensure_unknown_member(state.dim, DIM_SPEC, ctx)
+    classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dim = dimension_state(state.dim, view, ctx, classified=classified)
+        dim = dim.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in DIM_SPEC_TABLE.columns])
+        dim = materialize(dim, "dim")
+    finally:
+        classified.unpersist()
     return VaultState(hub=hub, general=general, phone=phone, email=email, dim=dim)
 
 

@@ -147,3 +147,23 @@ def write_state(df: DataFrame, spec: TableSpec, path: str, previous_version: int
     out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
     out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
     return version
+
+
+def materialize(df: DataFrame, label: str = "state") -> DataFrame:
+    """Write ``df`` once as Parquet under the session's reliable checkpoint
+    folder and return a DataFrame reading it back.
+
+    Cuts the lineage like ``checkpoint()`` but with a single job (an RDD
+    checkpoint of an un-persisted plan computes it twice), and the stored
+    copy lives on the shared file system named by ``spark.checkpoint.dir``,
+    never on an executor's local disk.
+    """
+    import uuid
+
+    from lakevault.session import ensure_checkpoint_dir
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
