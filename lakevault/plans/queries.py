@@ -182,8 +182,11 @@ def _event_diff() -> list:
 
 
 def _events_satellite(events: DataFrame, with_load: bool) -> DataFrame:
+    # candidates (no load time) are de-duplicated; a history is only probed
+    # by (hk, hd) or reduced to its newest row, so duplicates cannot matter
     return satellite_stage(
-        events, "user_id", _event_payload(with_load), diff_cols=_event_diff(), diff_bits=256, hash_form="hex"
+        events, "user_id", _event_payload(with_load), diff_cols=_event_diff(), diff_bits=256, hash_form="hex",
+        dedupe=not with_load,
     )
 
 
@@ -239,6 +242,7 @@ def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
         diff_cols=[F.col("o_orderstatus"), F.col("o_orderpriority")],
         diff_bits=256,
         hash_form="hex",
+        dedupe=False,
     )
     event_sat = _events_satellite(events, with_load=True)
     view = current_entity_view(
