@@ -378,6 +378,19 @@ def run_customer_load(
     if chosen is None:
         return summary  # nothing in the window: every load is a no-op
 
+    summary.update(load_snapshot(spark, snapshot, paths, ctx, sep=sep))
+    return summary
+
+
+def load_snapshot(
+    spark: SparkSession, snapshot: DataFrame, paths: LakePaths, ctx: LoadContext, sep: str = FIELD_SEPARATOR
+) -> dict:
+    """All five loads for one chosen snapshot (silver appends, gold version).
+
+    Idempotent: re-running it for the same snapshot appends nothing to the
+    hub and satellites and writes a dimension version equal to the last one,
+    so a retried batch (e.g. a re-executed streaming micro-batch) is safe.
+    """
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -402,7 +415,6 @@ def run_customer_load(
     classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         state = dimension_state(dim, view, ctx, classified=classified)
-        summary["dim_version"] = write_state(state, DIM_SPEC_TABLE, paths.dim, version)
+        return {"dim_version": write_state(state, DIM_SPEC_TABLE, paths.dim, version)}
     finally:
         classified.unpersist()
-    return summary
