@@ -275,6 +275,16 @@ def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classifie
 # --- in-memory replay (no storage) -------------------------------------------------
 
 
+def run_concurrently(jobs: dict) -> dict:
+    """Run independent Spark actions from driver threads (the scheduler
+    interleaves their tasks); re-raises the first failure."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: fut.result() for name, fut in futures.items()}
+
+
 @dataclass
 class VaultState:
     hub: DataFrame
@@ -307,19 +317,20 @@ def load_day(state: VaultState, snapshot: DataFrame, ctx: LoadContext, sep: str
     """
     snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hub = state.hub.unionByName(hub_rows(snapshot, state.hub, ctx).select(*HUB_SPEC.column_names))
-        general = state.general.unionByName(
-            general_rows(snapshot, state.general, ctx, sep=sep).select(*GENERAL_SPEC.column_names)
-        )
-        phone = state.phone.unionByName(
-            phone_rows(snapshot, state.phone, ctx, sep=sep).select(*PHONE_SPEC.column_names)
-        )
-        email = state.email.unionByName(
-            email_rows(snapshot, state.email, ctx, sep=sep).select(*EMAIL_SPEC.column_names)
-        )
-        hub, general, phone, email = (
-            materialize(df, label) for df, label in ((hub, "hub"), (general, "general"), (phone, "phone"), (email, "email"))
-        )
+        loads = {
+            "hub": lambda: state.hub.unionByName(hub_rows(snapshot, state.hub, ctx).select(*HUB_SPEC.column_names)),
+            "general": lambda: state.general.unionByName(
+                general_rows(snapshot, state.general, ctx, sep=sep).select(*GENERAL_SPEC.column_names)
+            ),
+            "phone": lambda: state.phone.unionByName(
+                phone_rows(snapshot, state.phone, ctx, sep=sep).select(*PHONE_SPEC.column_names)
+            ),
+            "email": lambda: state.email.unionByName(
+                email_rows(snapshot, state.email, ctx, sep=sep).select(*EMAIL_SPEC.column_names)
+            ),
+        }
+        done = run_concurrently({name: (lambda f=f, n=name: materialize(f(), n)) for name, f in loads.items()})
+        hub, general, phone, email = done["hub"], done["general"], done["phone"], done["email"]
     finally:
         snapshot.unpersist()
     view = current_view(hub, general, phone)
@@ -394,14 +405,29 @@ def load_snapshot(
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hub = read_table(spark, HUB_SPEC, paths.hub)
-        append_rows(hub_rows(snapshot, hub, ctx), HUB_SPEC, paths.hub)
-        general = read_table(spark, GENERAL_SPEC, paths.general)
-        append_rows(general_rows(snapshot, general, ctx, sep=sep), GENERAL_SPEC, paths.general)
-        phone = read_table(spark, PHONE_SPEC, paths.phone)
-        append_rows(phone_rows(snapshot, phone, ctx, sep=sep), PHONE_SPEC, paths.phone)
-        email = read_table(spark, EMAIL_SPEC, paths.email)
-        append_rows(email_rows(snapshot, email, ctx, sep=sep), EMAIL_SPEC, paths.email)
+        # the four silver loads are independent jobs: submit them together
+        run_concurrently(
+            {
+                "hub": lambda: append_rows(
+                    hub_rows(snapshot, read_table(spark, HUB_SPEC, paths.hub), ctx), HUB_SPEC, paths.hub
+                ),
+                "general": lambda: append_rows(
+                    general_rows(snapshot, read_table(spark, GENERAL_SPEC, paths.general), ctx, sep=sep),
+                    GENERAL_SPEC,
+                    paths.general,
+                ),
+                "phone": lambda: append_rows(
+                    phone_rows(snapshot, read_table(spark, PHONE_SPEC, paths.phone), ctx, sep=sep),
+                    PHONE_SPEC,
+                    paths.phone,
+                ),
+                "email": lambda: append_rows(
+                    email_rows(snapshot, read_table(spark, EMAIL_SPEC, paths.email), ctx, sep=sep),
+                    EMAIL_SPEC,
+                    paths.email,
+                ),
+            }
+        )
     finally:
         snapshot.unpersist()
 
