@@ -31,7 +31,12 @@ def _as_text(c: ColumnOrName) -> Column:
     return _col(c).cast("string")
 
 
-def _finish_hash(hex_digest: Column, form: str) -> Column:
+def _finish_hash(hex_digest: Column, form: str, not_null: bool = False) -> Column:
+    if not_null:
+        # The input is known non-null, so the digest is too; saying so keeps
+        # Catalyst from inferring an ``isnotnull(sha2(..))`` filter for join
+        # keys, which would evaluate every hash twice (filter + projection).
+        hex_digest = F.coalesce(hex_digest, F.lit(""))
     if form == "hex":
         return hex_digest
     if form == "hex_binary":
@@ -48,12 +53,14 @@ def hash_key(
     bits: int = 256,
     sep: str = FIELD_SEPARATOR,
     form: str = "hex_binary",
+    key_not_null: bool = False,
 ) -> Column:
     """Hash of a business key.
 
     One column: ``sha2(CAST(key AS STRING), bits)`` exactly.  Several columns
     (composite key): the texts joined by ``sep``, NULL parts as ''.
-    A NULL single key gives NULL (callers drop or default it first).
+    A NULL single key gives NULL (callers drop or default it first; pass
+    ``key_not_null=True`` when they have, so the result is typed non-null).
     """
     if not cols:
         raise ValueError("hash_key needs at least one column")
@@ -61,7 +68,7 @@ def hash_key(
         material = _as_text(cols[0])
     else:
         material = F.concat_ws(sep, *[F.coalesce(_as_text(c), F.lit("")) for c in cols])
-    return _finish_hash(F.sha2(material, bits), form)
+    return _finish_hash(F.sha2(material, bits), form, not_null=key_not_null or len(cols) > 1)
 
 
 def hash_diff(
@@ -79,7 +86,7 @@ def hash_diff(
         raise ValueError("hash_diff needs at least one column")
     parts = [F.coalesce(_as_text(c), F.lit("")) for c in cols]
     material = parts[0] if len(parts) == 1 else F.concat_ws(sep, *parts)
-    return _finish_hash(F.sha2(material, bits), form)
+    return _finish_hash(F.sha2(material, bits), form, not_null=True)
 
 
 def clean_text(c: ColumnOrName, default: str) -> Column:

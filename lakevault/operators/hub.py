@@ -55,7 +55,7 @@ def hub_new_rows(
     staged = staged.filter(not_null).distinct()
     new = insert_only_merge(staged, hub, names)
     return new.select(
-        hash_key(*names, bits=hash_bits, form=hash_form).alias(hk_col),
+        hash_key(*names, bits=hash_bits, form=hash_form, key_not_null=True).alias(hk_col),
         *names,
         ctx.load_ts_col().alias(load_col),
         ctx.source_col().alias(source_col),

@@ -63,7 +63,7 @@ def satellite_stage(
         *[_col(expr).alias(name) for name, expr in zip(diff_names, diffs)],
     )
     staged = staged.select(
-        hash_key(_BK, bits=key_bits, form=hash_form).alias(hk_col),
+        hash_key(_BK, bits=key_bits, form=hash_form, key_not_null=True).alias(hk_col),
         hash_diff(_BK, *diff_names, bits=diff_bits, sep=sep, form=hash_form).alias(hd_col),
         *payload.keys(),
     )
