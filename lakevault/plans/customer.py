@@ -37,7 +37,11 @@ from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.sources.params import load_params
 from lakevault.sources.snapshots import latest_snapshot, run_window, snapshot_date_from_parts
 from lakevault.sources.tables import (
+    Bucketing,
     ColumnSpec,
+    append_bucketed,
+    ensure_bucketed_table,
+    read_bucketed,
     TableSpec,
     append_rows,
     materialize,
@@ -358,6 +362,43 @@ class LakePaths:
     dim: str
 
 
+class SilverTables:
+    """Reads and appends of the four silver tables, plain or bucketed.
+
+    With ``buckets`` the tables are catalog tables (``table_prefix`` + name)
+    bucketed by the keys their loads join on -- the hub by business key, the
+    satellites by (hk, hd) -- so a daily load shuffles only its own rows.
+    """
+
+    def __init__(self, spark: SparkSession, paths: LakePaths, buckets: int | None, table_prefix: str = ""):
+        self.spark = spark
+        self.layout = {
+            "hub": (HUB_SPEC, paths.hub, (BK,)),
+            "general": (GENERAL_SPEC, paths.general, (HK, HD)),
+            "phone": (PHONE_SPEC, paths.phone, (HK, HD)),
+            "email": (EMAIL_SPEC, paths.email, (HK, HD)),
+        }
+        self.bucketing: dict[str, Bucketing] = {}
+        if buckets:
+            for name, (spec, path, cols) in self.layout.items():
+                b = Bucketing(f"{table_prefix}{spec.name}", cols, buckets)
+                ensure_bucketed_table(spark, spec, path, b)
+                self.bucketing[name] = b
+
+    def read(self, name: str) -> DataFrame:
+        spec, path, _ = self.layout[name]
+        if name in self.bucketing:
+            return read_bucketed(self.spark, self.bucketing[name])
+        return read_table(self.spark, spec, path)
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        spec, path, _ = self.layout[name]
+        if name in self.bucketing:
+            append_bucketed(rows, spec, self.bucketing[name])
+        else:
+            append_rows(rows, spec, path)
+
+
 def run_customer_load(
     spark: SparkSession,
     paths: LakePaths,
@@ -367,6 +408,8 @@ def run_customer_load(
     lookback_days: int | None = None,
     params: DataFrame | None = None,
     sep: str = FIELD_SEPARATOR,
+    buckets: int | None = None,
+    table_prefix: str = "",
 ) -> dict:
     """Bronze -> silver -> gold for one process date.
 
@@ -389,12 +432,18 @@ def run_customer_load(
     if chosen is None:
         return summary  # nothing in the window: every load is a no-op
 
-    summary.update(load_snapshot(spark, snapshot, paths, ctx, sep=sep))
+    summary.update(load_snapshot(spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix))
     return summary
 
 
 def load_snapshot(
-    spark: SparkSession, snapshot: DataFrame, paths: LakePaths, ctx: LoadContext, sep: str = FIELD_SEPARATOR
+    spark: SparkSession,
+    snapshot: DataFrame,
+    paths: LakePaths,
+    ctx: LoadContext,
+    sep: str = FIELD_SEPARATOR,
+    buckets: int | None = None,
+    table_prefix: str = "",
 ) -> dict:
     """All five loads for one chosen snapshot (silver appends, gold version).
 
@@ -402,40 +451,23 @@ def load_snapshot(
     hub and satellites and writes a dimension version equal to the last one,
     so a retried batch (e.g. a re-executed streaming micro-batch) is safe.
     """
+    silver = SilverTables(spark, paths, buckets, table_prefix)
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # the four silver loads are independent jobs: submit them together
         run_concurrently(
             {
-                "hub": lambda: append_rows(
-                    hub_rows(snapshot, read_table(spark, HUB_SPEC, paths.hub), ctx), HUB_SPEC, paths.hub
-                ),
-                "general": lambda: append_rows(
-                    general_rows(snapshot, read_table(spark, GENERAL_SPEC, paths.general), ctx, sep=sep),
-                    GENERAL_SPEC,
-                    paths.general,
-                ),
-                "phone": lambda: append_rows(
-                    phone_rows(snapshot, read_table(spark, PHONE_SPEC, paths.phone), ctx, sep=sep),
-                    PHONE_SPEC,
-                    paths.phone,
-                ),
-                "email": lambda: append_rows(
-                    email_rows(snapshot, read_table(spark, EMAIL_SPEC, paths.email), ctx, sep=sep),
-                    EMAIL_SPEC,
-                    paths.email,
-                ),
+                "hub": lambda: silver.append("hub", hub_rows(snapshot, silver.read("hub"), ctx)),
+                "general": lambda: silver.append("general", general_rows(snapshot, silver.read("general"), ctx, sep=sep)),
+                "phone": lambda: silver.append("phone", phone_rows(snapshot, silver.read("phone"), ctx, sep=sep)),
+                "email": lambda: silver.append("email", email_rows(snapshot, silver.read("email"), ctx, sep=sep)),
             }
         )
     finally:
         snapshot.unpersist()
 
-    view = current_view(
-        read_table(spark, HUB_SPEC, paths.hub),
-        read_table(spark, GENERAL_SPEC, paths.general),
-        read_table(spark, PHONE_SPEC, paths.phone),
-    )
+    view = current_view(silver.read("hub"), silver.read("general"), silver.read("phone"))
     dim, version = read_state(spark, DIM_SPEC_TABLE, paths.dim)
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
     classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)

@@ -174,3 +174,41 @@ def materialize(df: DataFrame, label: str = "state") -> DataFrame:
     path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@dataclass(frozen=True)
+class Bucketing:
+    """Catalog table bucketed (and sorted) by the columns a load joins on.
+
+    With the satellite history stored bucketed by ``(hk, hd)`` the daily
+    anti join reads it already hash-partitioned: only the day's candidates
+    are shuffled, never the whole history.  Each append is repartitioned by
+    the same hash into ``num_buckets`` tasks, so a load adds at most one file
+    per bucket.
+    """
+
+    table: str
+    columns: tuple[str, ...]
+    num_buckets: int
+
+
+def ensure_bucketed_table(spark: SparkSession, spec: TableSpec, path: str, bucketing: Bucketing) -> None:
+    """``CREATE TABLE IF NOT EXISTS .. CLUSTERED BY .. INTO n BUCKETS`` over
+    ``path`` (re-registering an existing folder is safe)."""
+    cols = ", ".join(f"`{c.name}` {c.dtype.simpleString()}" for c in spec.columns)
+    keys = ", ".join(f"`{c}`" for c in bucketing.columns)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {bucketing.table} ({cols}) USING parquet "
+        f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucketing.num_buckets} BUCKETS "
+        f"LOCATION '{path}'"
+    )
+
+
+def read_bucketed(spark: SparkSession, bucketing: Bucketing) -> DataFrame:
+    return spark.table(bucketing.table)
+
+
+def append_bucketed(df: DataFrame, spec: TableSpec, bucketing: Bucketing) -> None:
+    """Insert-only load into a bucketed table: one file per bucket per load."""
+    out = conform(df, spec).repartition(bucketing.num_buckets, *bucketing.columns)
+    out.write.insertInto(bucketing.table)
