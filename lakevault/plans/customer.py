@@ -39,12 +39,12 @@ from lakevault.sources.snapshots import latest_snapshot, run_window, snapshot_da
 from lakevault.sources.tables import (
     Bucketing,
     ColumnSpec,
-    append_bucketed,
-    ensure_bucketed_table,
-    read_bucketed,
     TableSpec,
+    append_bucketed,
     append_rows,
+    ensure_bucketed_table,
     materialize,
+    read_bucketed,
     read_state,
     read_table,
     write_state,

@@ -96,8 +96,13 @@ def ensure_table(spark: SparkSession, spec: TableSpec, path: str, table_name: st
 
 
 def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Sort each written file by the cluster columns (tight min/max statistics
-    per row group for later filters).
+    """Rebalance, then sort each written file by the cluster columns.
+
+    The ``rebalance`` hint is Spark's optimised write: AQE splits or merges
+    the output partitions to the advisory size (64 MB by default), so a load
+    writes a few well-sized files instead of one file per shuffle partition,
+    and a skewed partition is split rather than written by one task.  The
+    sort gives tight min/max statistics per row group for later filters.
 
     Deliberately no ``repartitionByRange``: its sampling job would evaluate
     the load query a second time, and for satellites the cluster column is
@@ -105,9 +110,8 @@ def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     would put every new row of the load into a single task.  Each append
     already lands in its own files, so the table stays clustered by load.
     """
-    if not cols:
-        return df
-    return df.sortWithinPartitions(*cols)
+    balanced = df.hint("rebalance")
+    return balanced.sortWithinPartitions(*cols) if cols else balanced
 
 
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
@@ -172,7 +176,7 @@ def materialize(df: DataFrame, label: str = "state") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.hint("rebalance").write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
