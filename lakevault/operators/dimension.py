@@ -161,13 +161,18 @@ def _changed_rows(classified: DataFrame, spec: DimensionSpec, ctx: LoadContext)
 
 
 def _new_rows(
-    classified: DataFrame, spec: DimensionSpec, ctx: LoadContext, start_after: int, single_task_rows: int
+    classified: DataFrame,
+    spec: DimensionSpec,
+    ctx: LoadContext,
+    start_after: int,
+    single_task_rows: int,
+    total: int | None = None,
 ) -> DataFrame:
     fresh = classified.filter(F.col(STATUS) == NEW).select(
         *spec.bk_cols, *[F.col(_new(a)).alias(a) for a in spec.attrs]
     )
     numbered = assign_surrogate_keys(
-        fresh, list(spec.bk_cols), spec.id_col, start_after, single_task_rows=single_task_rows
+        fresh, list(spec.bk_cols), spec.id_col, start_after, single_task_rows=single_task_rows, total=total
     )
     return numbered.select(
         spec.id_col, *spec.bk_cols, *spec.attrs, ctx.load_ts_col().alias(spec.load_col)
@@ -224,12 +229,22 @@ def scd1_merge(
     Untouched and source-less rows keep their values and load time; changed
     rows are overwritten in place (same id); new keys get dense ids after the
     current maximum.  Pass a persisted ``classified`` (from ``scd1_classify``)
-    to avoid recomputing the join for the id assignment's count jobs.
+    to avoid recomputing the join: the current maximum id and the number of
+    new keys then come from it in one small aggregate job.
     """
-    if start_after is None:
-        start_after = max_surrogate_value(dim, spec)
+    total = None
     if classified is None:
         classified = scd1_classify(dim, current, spec)
+        if start_after is None:
+            start_after = max_surrogate_value(dim, spec)
+    else:
+        stats = classified.agg(
+            F.max(F.when((F.col(STATUS) != NEW) & (F.col(spec.id_col) >= 1), F.col(spec.id_col))).alias("m"),
+            F.count(F.when(F.col(STATUS) == NEW, F.lit(1))).alias("n"),
+        ).first()
+        total = int(stats["n"])
+        if start_after is None:
+            start_after = int(stats["m"] or 0)
     is_changed = F.col(STATUS) == CHANGED
     existing = classified.filter(F.col(STATUS) != NEW).select(
         F.col(spec.id_col).cast("long").alias(spec.id_col),
@@ -237,4 +252,4 @@ def scd1_merge(
         *[F.when(is_changed, F.col(_new(a))).otherwise(F.col(_old(a))).alias(a) for a in spec.attrs],
         F.when(is_changed, ctx.load_ts_col()).otherwise(F.col(_old(spec.load_col))).alias(spec.load_col),
     )
-    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, single_task_rows))
+    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, single_task_rows, total))

@@ -64,6 +64,7 @@ def assign_surrogate_keys(
     single_task_rows: int = SINGLE_TASK_ROWS,
     max_buckets: int = MAX_BUCKETS,
     seed: int = 17,
+    total: int | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = ``start_after + 1 ..`` densely, ordered by ``order_cols``.
 
@@ -75,11 +76,13 @@ def assign_surrogate_keys(
     broadcast of at most ``max_buckets`` rows), and the numbering is a
     window partitioned by bucket.
     Persist ``df`` first if it is expensive to recompute: it is scanned by the
-    count, the sample, the bucket counts and the final plan.
+    count, the sample, the bucket counts and the final plan.  Pass ``total``
+    when the row count is already known to skip the counting job.
     """
     if not order_cols:
         raise ValueError("assign_surrogate_keys needs at least one order column")
-    total = df.count()
+    if total is None:
+        total = df.count()
     order = [F.col(c).asc() for c in order_cols]
     if total <= single_task_rows:
         w = Window.orderBy(*order)
