@@ -184,6 +184,22 @@ def scd1_changed(dim: DataFrame, current: DataFrame, spec: DimensionSpec, ctx: L
     return _changed_rows(scd1_classify(dim, current, spec), spec, ctx)
 
 
+def _id_stats(classified: DataFrame, spec: DimensionSpec) -> tuple[int, int]:
+    """Current max real id and number of new keys, in one aggregate job."""
+    row = classified.agg(
+        F.max(F.when((F.col(STATUS) != NEW) & (F.col(spec.id_col) >= 1), F.col(spec.id_col))).alias("m"),
+        F.count(F.when(F.col(STATUS) == NEW, F.lit(1))).alias("n"),
+    ).first()
+    return int(row["m"] or 0), int(row["n"])
+
+
+def _numbering(
+    classified: DataFrame, spec: DimensionSpec, start_after: int | None
+) -> tuple[int, int]:
+    max_id, n_new = _id_stats(classified, spec)
+    return (max_id if start_after is None else start_after), n_new
+
+
 def scd1_new(
     dim: DataFrame,
     current: DataFrame,
@@ -193,9 +209,9 @@ def scd1_new(
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Source keys not in the dimension, with ids ``max_id + 1 ..`` by key."""
-    if start_after is None:
-        start_after = max_surrogate_value(dim, spec)
-    return _new_rows(scd1_classify(dim, current, spec), spec, ctx, start_after, single_task_rows)
+    classified = scd1_classify(dim, current, spec)
+    start_after, n_new = _numbering(classified, spec, start_after)
+    return _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
 
 
 def scd1_delta(
@@ -207,11 +223,10 @@ def scd1_delta(
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Changed rows followed by new rows (what a MERGE would upsert)."""
-    if start_after is None:
-        start_after = max_surrogate_value(dim, spec)
     classified = scd1_classify(dim, current, spec)
+    start_after, n_new = _numbering(classified, spec, start_after)
     return _changed_rows(classified, spec, ctx).unionByName(
-        _new_rows(classified, spec, ctx, start_after, single_task_rows)
+        _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
     )
 
 
@@ -228,23 +243,14 @@ def scd1_merge(
 
     Untouched and source-less rows keep their values and load time; changed
     rows are overwritten in place (same id); new keys get dense ids after the
-    current maximum.  Pass a persisted ``classified`` (from ``scd1_classify``)
-    to avoid recomputing the join: the current maximum id and the number of
-    new keys then come from it in one small aggregate job.
+    current maximum.  One small aggregate job over the classification yields
+    both the current maximum id and the number of new keys; pass a persisted
+    ``classified`` (from ``scd1_classify``) so that job and the final plan
+    share one evaluation of the join.
     """
-    total = None
     if classified is None:
         classified = scd1_classify(dim, current, spec)
-        if start_after is None:
-            start_after = max_surrogate_value(dim, spec)
-    else:
-        stats = classified.agg(
-            F.max(F.when((F.col(STATUS) != NEW) & (F.col(spec.id_col) >= 1), F.col(spec.id_col))).alias("m"),
-            F.count(F.when(F.col(STATUS) == NEW, F.lit(1))).alias("n"),
-        ).first()
-        total = int(stats["n"])
-        if start_after is None:
-            start_after = int(stats["m"] or 0)
+    start_after, n_new = _numbering(classified, spec, start_after)
     is_changed = F.col(STATUS) == CHANGED
     existing = classified.filter(F.col(STATUS) != NEW).select(
         F.col(spec.id_col).cast("long").alias(spec.id_col),
@@ -252,4 +258,4 @@ def scd1_merge(
         *[F.when(is_changed, F.col(_new(a))).otherwise(F.col(_old(a))).alias(a) for a in spec.attrs],
         F.when(is_changed, ctx.load_ts_col()).otherwise(F.col(_old(spec.load_col))).alias(spec.load_col),
     )
-    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, single_task_rows, total))
+    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, single_task_rows, n_new))

@@ -27,7 +27,6 @@ from lakevault.operators.context import LoadContext
 from lakevault.operators.dimension import (
     DimensionSpec,
     ensure_unknown_member,
-    max_surrogate_value,
     scd1_classify,
     scd1_merge,
 )
@@ -272,10 +271,8 @@ def current_view(hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how
 def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classified: DataFrame | None = None) -> DataFrame:
     """New full dimension state: unknown member ensured, Type-1 upsert."""
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
-    if classified is not None:  # max id and new-key count come from it in one job
-        return scd1_merge(with_unknown, view, DIM_SPEC, ctx, classified=classified)
-    start_after = max_surrogate_value(dim, DIM_SPEC)
-    return scd1_merge(with_unknown, view, DIM_SPEC, ctx, start_after=start_after)
+    # max id and new-key count come from the classification in one job
+    return scd1_merge(with_unknown, view, DIM_SPEC, ctx, classified=classified)
 
 
 # --- in-memory replay (no storage) -------------------------------------------------
