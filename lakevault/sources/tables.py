@@ -129,11 +129,14 @@ def append_rows(df: DataFrame, spec: TableSpec, path: str) -> None:
     _cluster(conform(df, spec), spec.cluster_by).write.mode("append").parquet(path)
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed ``version=N`` folder (partition values only)."""
+COMMITS_DIR = "_commits"  # leading underscore: invisible to partition discovery
+
+
+def _max_version(spark: SparkSession, path: str, sub: str = "") -> int | None:
+    target = f"{path.rstrip('/')}/{sub}" if sub else path
     try:
-        frame = spark.read.parquet(path)
-    except Exception as exc:  # noqa: BLE001
+        frame = spark.read.parquet(target)
+    except Exception as exc:  # noqa: BLE001 - a missing folder means "no version yet"
         if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
@@ -143,6 +146,13 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return None if row is None or row["v"] is None else int(row["v"])
 
 
+def current_version(spark: SparkSession, path: str) -> int | None:
+    """Newest *committed* version: read from the commit log, which gets its
+    row only after that version's files were written successfully.  A
+    version folder left behind by a failed or interrupted write is ignored."""
+    return _max_version(spark, path, COMMITS_DIR)
+
+
 def read_state(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFrame, int | None]:
     """Current full state of a versioned table and its version number."""
     version = current_version(spark, path)
@@ -153,10 +163,17 @@ def read_state(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFra
 
 
 def write_state(df: DataFrame, spec: TableSpec, path: str, previous_version: int | None) -> int:
-    """Write the new full state as the next version; return its number."""
-    version = (previous_version or 0) + 1
+    """Write the new full state as the next version, then commit it.
+
+    The number is past every existing version folder, so the files of an
+    interrupted earlier attempt are never mixed into the new version.
+    """
+    spark = df.sparkSession
+    version = max(previous_version or 0, _max_version(spark, path) or 0) + 1
     out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
     out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
+    commit = spark.range(1).select(F.lit(version).cast("int").alias(VERSION_COL))
+    commit.write.mode("append").parquet(f"{path.rstrip('/')}/{COMMITS_DIR}")
     return version
 
 

@@ -61,3 +61,26 @@ def test_empty_window_is_a_noop(spark, scratch):
     out = cust.run_customer_load(spark, paths, "2023-01-01 00:00:00", "x", "2023-01-01", 3)
     assert out == {"snapshot_date": None}
     assert read_table(spark, cust.HUB_SPEC, paths.hub).count() == 0
+
+
+def test_interrupted_version_write_is_ignored(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from lakevault.sources.tables import read_state, write_state
+
+    spec = cust.DIM_SPEC_TABLE
+    path = f"{scratch}/dim"
+    row = spark.createDataFrame(
+        [(1, 10, "a", "b", "c", "d", "e", 1, "(1)", None)], spec.schema.simpleString().replace("struct<", "").rstrip(">")
+    ).withColumn(cust.LOAD, F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    assert write_state(row, spec, path, None) == 1
+    # simulate a writer that died before committing version 2
+    row.withColumn("Nombre", F.lit("partial")).withColumn("version", F.lit(2)).write.mode("append").partitionBy(
+        "version"
+    ).parquet(path)
+    state, version = read_state(spark, spec, path)
+    assert version == 1 and [r["Nombre"] for r in state.collect()] == ["a"]
+    # the next write skips the orphaned number
+    assert write_state(state.withColumn("Nombre", F.lit("z")), spec, path, version) == 3
+    state, version = read_state(spark, spec, path)
+    assert version == 3 and [r["Nombre"] for r in state.collect()] == ["z"]
