@@ -15,6 +15,8 @@ from lakevault.sources.tables import (
     current_version,
     empty_frame,
     ensure_table,
+    merge_insert_only,
+    merge_upsert,
     read_state,
     read_table,
     write_state,
@@ -32,6 +34,8 @@ __all__ = [
     "ensure_table",
     "latest_snapshot",
     "load_params",
+    "merge_insert_only",
+    "merge_upsert",
     "params_frame",
     "read_snapshots",
     "read_state",

@@ -233,3 +233,51 @@ def append_bucketed(df: DataFrame, spec: TableSpec, bucketing: Bucketing) -> Non
     """Insert-only load into a bucketed table: one file per bucket per load."""
     out = conform(df, spec).repartition(bucketing.num_buckets, *bucketing.columns)
     out.write.insertInto(bucketing.table)
+
+
+def _merge_condition(keys: Sequence[str], target: str = "t", source: str = "s") -> F.Column:
+    cond = None
+    for k in keys:
+        part = F.col(f"{target}.{k}") == F.col(f"{source}.{k}")
+        cond = part if cond is None else cond & part
+    return cond
+
+
+def merge_insert_only(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """``MERGE .. WHEN NOT MATCHED THEN INSERT *`` into a catalog table that
+    supports row-level operations (e.g. Delta or Iceberg tables).
+
+    Only for such catalogs; plain Parquet tables use ``append_rows`` with the
+    anti-joined rows, which has the same result.
+    """
+    _require_row_level(rows.sparkSession, table)
+    rows.alias("s").mergeInto(table, _merge_condition(keys)).whenNotMatched().insertAll().merge()
+
+
+def merge_upsert(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """``MERGE .. WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *`` (the Type-1
+    apply of changed + new rows, e.g. ``scd1_delta``) into a row-level table."""
+    _require_row_level(rows.sparkSession, table)
+    (
+        rows.alias("s")
+        .mergeInto(table, _merge_condition(keys))
+        .whenMatched()
+        .updateAll()
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
+def _require_row_level(spark: SparkSession, table: str) -> None:
+    provider = None
+    try:
+        for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+            if row[0] == "Provider":
+                provider = (row[1] or "").lower()
+    except Exception as exc:  # noqa: BLE001
+        raise ValueError(f"table {table!r} not found in the catalog") from exc
+    if provider in ("parquet", "orc", "csv", "json", "text", "avro", "hive"):
+        raise ValueError(
+            f"table {table!r} ({provider}) has no row-level MERGE; use append_rows / write_state instead"
+        )

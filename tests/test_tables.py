@@ -38,3 +38,15 @@ def test_append_casts_types_and_enforces_not_null(spark, scratch):
 
 def test_read_table_of_missing_path_is_empty(spark, scratch):
     assert read_table(spark, cust.GENERAL_SPEC, f"{scratch}/nothing").count() == 0
+
+
+def test_merge_writers_refuse_plain_parquet_tables(spark, scratch):
+    from lakevault.sources.tables import merge_insert_only, merge_upsert
+
+    ensure_table(spark, cust.HUB_SPEC, f"{scratch}/hub", "hub_merge_test")
+    rows = spark.table("hub_merge_test")
+    with pytest.raises(ValueError, match="no row-level MERGE"):
+        merge_insert_only(rows, "hub_merge_test", [cust.BK])
+    with pytest.raises(ValueError, match="no row-level MERGE"):
+        merge_upsert(rows, "hub_merge_test", [cust.BK])
+    spark.sql("DROP TABLE hub_merge_test")
