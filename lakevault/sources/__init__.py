@@ -8,35 +8,45 @@ from lakevault.sources.snapshots import (
     with_snapshot_date,
 )
 from lakevault.sources.tables import (
+    Bucketing,
     ColumnSpec,
     TableSpec,
+    append_bucketed,
     append_rows,
     conform,
     current_version,
     empty_frame,
+    ensure_bucketed_table,
     ensure_table,
+    materialize,
     merge_insert_only,
     merge_upsert,
+    read_bucketed,
     read_state,
     read_table,
     write_state,
 )
 
 __all__ = [
+    "Bucketing",
     "ColumnSpec",
     "MissingParameterError",
     "RunWindow",
     "TableSpec",
+    "append_bucketed",
     "append_rows",
     "conform",
     "current_version",
     "empty_frame",
+    "ensure_bucketed_table",
     "ensure_table",
     "latest_snapshot",
     "load_params",
+    "materialize",
     "merge_insert_only",
     "merge_upsert",
     "params_frame",
+    "read_bucketed",
     "read_snapshots",
     "read_state",
     "read_table",
