@@ -92,13 +92,13 @@ def unknown_member(spark: SparkSession, dim: DataFrame, spec: DimensionSpec, ctx
 def ensure_unknown_member(dim: DataFrame, spec: DimensionSpec, ctx: LoadContext) -> DataFrame:
     """``dim`` plus the unknown member if it is not there yet (idempotent).
 
-    Lazy: the one-row member is anti-joined against the dimension's rows with
-    the unknown id (at most one row, so the join is broadcast), no driver
-    round trip.
+    Lazy: the one-row member is anti-joined against an existence probe of the
+    unknown id (``limit(1)``: a proven one-row broadcast), no driver round
+    trip.
     """
     spark = dim.sparkSession
     member = unknown_member(spark, dim, spec, ctx)
-    present = dim.filter(F.col(spec.id_col) == F.lit(spec.unknown_id)).select(spec.id_col)
+    present = dim.filter(F.col(spec.id_col) == F.lit(spec.unknown_id)).select(spec.id_col).limit(1)
     missing = member.join(present, on=spec.id_col, how="left_anti")
     return dim.unionByName(missing)
 
