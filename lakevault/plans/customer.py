@@ -41,6 +41,7 @@ from lakevault.sources.tables import (
     TableSpec,
     append_bucketed,
     append_rows,
+    empty_frame,
     ensure_bucketed_table,
     materialize,
     read_bucketed,
@@ -299,7 +300,7 @@ class VaultState:
 
 def empty_state(spark: SparkSession) -> VaultState:
     def empty(spec: TableSpec) -> DataFrame:
-        return spark.createDataFrame([], spec.schema)
+        return empty_frame(spark, spec)
 
     return VaultState(
         hub=empty(HUB_SPEC),

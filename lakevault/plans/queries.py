@@ -43,6 +43,7 @@ from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_bronze_two_days, customer_snapshot, table
 from lakevault.sources.params import params_frame
 from lakevault.sources.snapshots import latest_snapshot, run_window
+from lakevault.sources.tables import empty_frame
 
 # Pinned run values shared with the oracle text.
 LOAD_TS = "2024-02-01 00:00:00"
@@ -89,7 +90,7 @@ def _orders_hub(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     before = orders.filter(F.col("o_orderdate") < split)
     after = orders.filter(F.col("o_orderdate") >= split)
     keys = {"customer_key": F.col("o_custkey")}
-    empty = spark.createDataFrame([], "customer_key bigint")
+    empty = empty_frame(spark, "customer_key bigint")
     existing = hub_new_rows(before, empty, keys, LoadContext(HUB_OLD_TS, "orders"), hash_form="hex")
     new = hub_new_rows(after, existing, keys, LoadContext(LOAD_TS, "orders"), hash_form="hex")
     return existing, new
@@ -231,7 +232,7 @@ def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer")
     orders = table(spark, sf, "orders")
     events = table(spark, sf, "events")
-    empty = spark.createDataFrame([], "customer_key bigint")
+    empty = empty_frame(spark, "customer_key bigint")
     hub = hub_new_rows(customer, empty, {"customer_key": F.col("c_custkey")}, LoadContext(LOAD_TS, "customer"),
                        hash_form="hex")
     order_sat = satellite_stage(

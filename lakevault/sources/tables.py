@@ -62,8 +62,16 @@ class TableSpec:
         return [c.name for c in self.columns if not c.nullable]
 
 
-def empty_frame(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    return spark.createDataFrame([], spec.schema)
+def empty_frame(spark: SparkSession, spec: TableSpec | T.StructType | str) -> DataFrame:
+    """An empty DataFrame with the given schema, built JVM-side (one empty
+    partition; no Python-side rows or Python workers involved)."""
+    if isinstance(spec, TableSpec):
+        schema = spec.schema
+    elif isinstance(spec, str):
+        schema = T._parse_datatype_string(spec)
+    else:
+        schema = spec
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
