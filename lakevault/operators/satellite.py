@@ -15,6 +15,7 @@ ColumnOrName = Column | str
 
 MODES = ("ever_seen", "latest")
 _BK = "__bk"
+_LATEST_HD = "__latest_hd"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -113,8 +114,20 @@ def satellite_new_rows(
     the history are read, and AQE broadcasts the candidates or the history
     when either turns out small.
     """
-    history = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col)
-    new = staged.join(history, on=[hk_col, hd_col], how="left_anti")
+    if mode == "latest":
+        # One newest row per hk: a candidate is new when its key has no
+        # stored row or the newest one carries another diff hash.  Joining on
+        # hk alone re-uses the hk partitioning the window left behind, so the
+        # reduced history (one row per key) is not shuffled a second time.
+        newest = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col).withColumnRenamed(
+            hd_col, _LATEST_HD
+        )
+        new = staged.join(newest, on=hk_col, how="left").filter(
+            F.col(_LATEST_HD).isNull() | (F.col(hd_col) != F.col(_LATEST_HD))
+        ).drop(_LATEST_HD)
+    else:
+        history = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col)
+        new = staged.join(history, on=[hk_col, hd_col], how="left_anti")
     payload = [c for c in staged.columns if c not in (hk_col, hd_col)]
     return new.select(
         hk_col,
