@@ -1,6 +1,5 @@
 """Every registered query against its SQL oracle (DuckDB) on sf0.001."""
 
-import os
 
 import duckdb
 import pytest
