@@ -33,3 +33,22 @@ def test_stream_of_two_days_equals_two_batch_runs(spark, scratch):
     batched, v2 = read_state(spark, cust.DIM_SPEC_TABLE, batch_paths.dim)
     assert v1 == v2 == 2
     assert rows(streamed) == rows(batched)
+
+
+def test_two_snapshots_in_one_micro_batch_load_in_date_order(spark, scratch):
+    bronze_all = customer_bronze_two_days(spark, SF_SMALL)
+    stream_paths = cust.LakePaths(f"{scratch}/s_bronze", *[f"{scratch}/s_{n}" for n in ("hub", "general", "phone", "email", "dim")])
+    batch_paths = cust.LakePaths(f"{scratch}/b_bronze", *[f"{scratch}/b_{n}" for n in ("hub", "general", "phone", "email", "dim")])
+    # day 20 is written first: arrival order must not matter, dates decide
+    for day in (20, 19):
+        bronze_all.filter(f"dia = {day}").write.mode("append").partitionBy("año", "mes", "dia").parquet(stream_paths.bronze)
+    bronze_all.write.partitionBy("año", "mes", "dia").parquet(batch_paths.bronze)
+    q = customer_snapshot_stream(spark, stream_paths, bronze_all.schema, f"{scratch}/ckpt", "bronze/customers")
+    q.awaitTermination(600)
+    assert q.exception() is None
+    for day in (19, 20):
+        cust.run_customer_load(spark, batch_paths, f"2024-01-{day} 00:00:00", "bronze/customers", f"2024-01-{day}", 3)
+    streamed, v1 = read_state(spark, cust.DIM_SPEC_TABLE, stream_paths.dim)
+    batched, v2 = read_state(spark, cust.DIM_SPEC_TABLE, batch_paths.dim)
+    assert v1 == v2 == 2
+    assert rows(streamed) == rows(batched)
