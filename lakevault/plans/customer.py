@@ -368,6 +368,8 @@ class SilverTables:
     With ``buckets`` the tables are catalog tables (``table_prefix`` + name)
     bucketed by the keys their loads join on -- the hub by business key, the
     satellites by (hk, hd) -- so a daily load shuffles only its own rows.
+    The dimension's versions are then bucketed by business key as well, so
+    the Type-1 full outer join does not shuffle the stored dimension.
     """
 
     def __init__(self, spark: SparkSession, paths: LakePaths, buckets: int | None, table_prefix: str = ""):
@@ -468,11 +470,12 @@ def load_snapshot(
         snapshot.unpersist()
 
     view = current_view(silver.read("hub"), silver.read("general"), silver.read("phone"))
-    dim, version = read_state(spark, DIM_SPEC_TABLE, paths.dim)
+    dim_bucketing = Bucketing(f"{table_prefix}{DIM_TABLE}", (DIM_BK,), buckets) if buckets else None
+    dim, version = read_state(spark, DIM_SPEC_TABLE, paths.dim, dim_bucketing)
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
     classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         state = dimension_state(dim, view, ctx, classified=classified)
-        return {"dim_version": write_state(state, DIM_SPEC_TABLE, paths.dim, version)}
+        return {"dim_version": write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)}
     finally:
         classified.unpersist()

@@ -161,26 +161,74 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return _max_version(spark, path, COMMITS_DIR)
 
 
-def read_state(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFrame, int | None]:
-    """Current full state of a versioned table and its version number."""
+def _committed(spark: SparkSession, path: str, version: int) -> dict:
+    rows = (
+        spark.read.parquet(f"{path.rstrip('/')}/{COMMITS_DIR}")
+        .filter(F.col(VERSION_COL) == F.lit(version))
+        .collect()
+    )
+    return rows[-1].asDict() if rows else {}
+
+
+def _version_dir(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{VERSION_COL}={version}"
+
+
+def read_state(
+    spark: SparkSession, spec: TableSpec, path: str, bucketing: "Bucketing | None" = None
+) -> tuple[DataFrame, int | None]:
+    """Current full state of a versioned table and its version number.
+
+    With ``bucketing``, a version that was written bucketed is read as a
+    bucketed catalog table (registered on demand over its folder), so a join
+    on the bucket columns reads it already partitioned.
+    """
     version = current_version(spark, path)
     if version is None:
         return empty_frame(spark, spec), None
+    if bucketing is not None:
+        info = _committed(spark, path, version)
+        if info.get("buckets") == bucketing.num_buckets and info.get("bucket_cols") == ",".join(bucketing.columns):
+            versioned = Bucketing(f"{bucketing.table}_v{version}", bucketing.columns, bucketing.num_buckets)
+            ensure_bucketed_table(spark, spec, _version_dir(path, version), versioned)
+            return spark.table(versioned.table), version
     frame = spark.read.schema(spec.schema.add(VERSION_COL, T.IntegerType())).parquet(path)
     return frame.filter(F.col(VERSION_COL) == F.lit(version)).drop(VERSION_COL), version
 
 
-def write_state(df: DataFrame, spec: TableSpec, path: str, previous_version: int | None) -> int:
+def write_state(
+    df: DataFrame,
+    spec: TableSpec,
+    path: str,
+    previous_version: int | None,
+    bucketing: "Bucketing | None" = None,
+) -> int:
     """Write the new full state as the next version, then commit it.
 
     The number is past every existing version folder, so the files of an
-    interrupted earlier attempt are never mixed into the new version.
+    interrupted earlier attempt are never mixed into the new version.  With
+    ``bucketing`` the version is written as a bucketed table (one file per
+    bucket) in its own ``version=N`` folder; the commit row records it.
     """
     spark = df.sparkSession
     version = max(previous_version or 0, _max_version(spark, path) or 0) + 1
-    out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
-    out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
-    commit = spark.range(1).select(F.lit(version).cast("int").alias(VERSION_COL))
+    if bucketing is None:
+        out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
+        out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
+    else:
+        cols = list(bucketing.columns)
+        out = conform(df, spec).repartition(bucketing.num_buckets, *cols)
+        (
+            out.write.bucketBy(bucketing.num_buckets, *cols)
+            .sortBy(*cols)
+            .option("path", _version_dir(path, version))
+            .saveAsTable(f"{bucketing.table}_v{version}")
+        )
+    commit = spark.range(1).select(
+        F.lit(version).cast("int").alias(VERSION_COL),
+        F.lit(bucketing.num_buckets if bucketing else None).cast("int").alias("buckets"),
+        F.lit(",".join(bucketing.columns) if bucketing else None).cast("string").alias("bucket_cols"),
+    )
     commit.write.mode("append").parquet(f"{path.rstrip('/')}/{COMMITS_DIR}")
     return version
 
@@ -213,7 +261,9 @@ class Bucketing:
     anti join reads it already hash-partitioned: only the day's candidates
     are shuffled, never the whole history.  Each append is repartitioned by
     the same hash into ``num_buckets`` tasks, so a load adds at most one file
-    per bucket.
+    per bucket.  Choose ``num_buckets`` >= ``spark.sql.shuffle.partitions``:
+    with fewer buckets Spark prefers to re-shuffle both join sides for
+    parallelism and the bucketed layout goes unused.
     """
 
     table: str

@@ -48,11 +48,31 @@ def test_bucketed_customer_runs_equal_plain_runs(spark, scratch):
     for day in (19, 20):
         args = (f"2024-01-{day} 06:00:00", "bronze/customers", f"2024-01-{day}", 3)
         cust.run_customer_load(spark, plain, *args)
-        cust.run_customer_load(spark, bucketed, *args, buckets=4, table_prefix="bkt_")
+        cust.run_customer_load(spark, bucketed, *args, buckets=8, table_prefix="bkt_")
     a, _ = read_state(spark, cust.DIM_SPEC_TABLE, plain.dim)
     b, _ = read_state(spark, cust.DIM_SPEC_TABLE, bucketed.dim)
     as_rows = lambda df: sorted(tuple(str(v) for v in r) for r in df.collect())
     assert as_rows(a) == as_rows(b)
     assert spark.table("bkt_" + cust.HUB_TABLE).count() == spark.read.parquet(plain.hub).count()
+
+    # the stored dimension is read bucketed: the SCD-1 join shuffles only the view
+    from lakevault.operators import scd1_classify
+    from lakevault.sources.tables import Bucketing as B
+
+    dim, version = read_state(spark, cust.DIM_SPEC_TABLE, bucketed.dim, B("bkt_" + cust.DIM_TABLE, (cust.DIM_BK,), 8))
+    view = a.filter(a[cust.DIM_ID] > 0).select(
+        a[cust.DIM_BK].alias(cust.BK), *cust.GENERAL_ATTRS, a[cust.DIM_PHONE_CODE].alias(cust.PHONE_CODE)
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = scd1_classify(dim, view, cust.DIM_SPEC)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Bucketed: true" in plan and "FullOuter" in plan
+    assert plan.count("Exchange hashpartitioning(") == 1  # the view's; none for the dimension
     for spec in (cust.HUB_SPEC, cust.GENERAL_SPEC, cust.PHONE_SPEC, cust.EMAIL_SPEC):
         spark.sql(f"DROP TABLE bkt_{spec.name}")
+    for v in (1, 2):
+        spark.sql(f"DROP TABLE IF EXISTS bkt_{cust.DIM_TABLE}_v{v}")
