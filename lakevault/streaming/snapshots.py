@@ -67,17 +67,22 @@ def customer_snapshot_stream(
     record_source: str,
     load_ts_of: Callable[[dt.date], str] | None = None,
     available_now: bool = True,
+    buckets: int | None = None,
+    table_prefix: str = "",
 ) -> StreamingQuery:
     """Customer hub/satellites/dimension loaded per arriving snapshot.
 
     ``load_ts_of`` pins the load time of each snapshot (default: the snapshot
-    date at midnight, so replays stamp the same values).
+    date at midnight, so replays stamp the same values); ``buckets`` selects
+    the bucketed table layout as in ``run_customer_load``.
     """
     from lakevault.plans.customer import load_snapshot
 
     stamp = load_ts_of or (lambda day: f"{day.isoformat()} 00:00:00")
 
     def on_snapshot(rows: DataFrame, day: dt.date) -> None:
-        load_snapshot(spark, rows, paths, LoadContext(stamp(day), record_source))
+        load_snapshot(
+            spark, rows, paths, LoadContext(stamp(day), record_source), buckets=buckets, table_prefix=table_prefix
+        )
 
     return snapshot_stream(spark, paths.bronze, schema, checkpoint_location, on_snapshot, available_now=available_now)
