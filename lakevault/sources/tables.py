@@ -170,6 +170,17 @@ def _committed(spark: SparkSession, path: str, version: int) -> dict:
     return rows[-1].asDict() if rows else {}
 
 
+def _folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder exists: a file listing on the driver, no Spark job."""
+    try:
+        spark.read.format("binaryFile").load(folder)
+        return True
+    except Exception as exc:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            return False
+        raise
+
+
 def _version_dir(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/{VERSION_COL}={version}"
 
@@ -211,7 +222,9 @@ def write_state(
     bucket) in its own ``version=N`` folder; the commit row records it.
     """
     spark = df.sparkSession
-    version = max(previous_version or 0, _max_version(spark, path) or 0) + 1
+    version = (previous_version or 0) + 1
+    while _folder_exists(spark, _version_dir(path, version)):  # left by an interrupted write
+        version += 1
     if bucketing is None:
         out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
         out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
