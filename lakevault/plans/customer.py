@@ -43,6 +43,7 @@ from lakevault.sources.tables import (
     append_rows,
     empty_frame,
     ensure_bucketed_table,
+    ensure_table,
     materialize,
     read_bucketed,
     read_state,
@@ -372,7 +373,14 @@ class SilverTables:
     the Type-1 full outer join does not shuffle the stored dimension.
     """
 
-    def __init__(self, spark: SparkSession, paths: LakePaths, buckets: int | None, table_prefix: str = ""):
+    def __init__(
+        self,
+        spark: SparkSession,
+        paths: LakePaths,
+        buckets: int | None,
+        table_prefix: str = "",
+        register: bool = False,
+    ):
         self.spark = spark
         self.layout = {
             "hub": (HUB_SPEC, paths.hub, (BK,)),
@@ -381,6 +389,9 @@ class SilverTables:
             "email": (EMAIL_SPEC, paths.email, (HK, HD)),
         }
         self.bucketing: dict[str, Bucketing] = {}
+        if register and not buckets:
+            for spec, path, _ in self.layout.values():
+                ensure_table(spark, spec, path, f"{table_prefix}{spec.name}")
         if buckets:
             for name, (spec, path, cols) in self.layout.items():
                 b = Bucketing(f"{table_prefix}{spec.name}", cols, buckets)
@@ -412,6 +423,7 @@ def run_customer_load(
     sep: str = FIELD_SEPARATOR,
     buckets: int | None = None,
     table_prefix: str = "",
+    register_tables: bool = False,
 ) -> dict:
     """Bronze -> silver -> gold for one process date.
 
@@ -434,7 +446,12 @@ def run_customer_load(
     if chosen is None:
         return summary  # nothing in the window: every load is a no-op
 
-    summary.update(load_snapshot(spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix))
+    summary.update(
+        load_snapshot(
+            spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix,
+            register_tables=register_tables,
+        )
+    )
     return summary
 
 
@@ -446,6 +463,7 @@ def load_snapshot(
     sep: str = FIELD_SEPARATOR,
     buckets: int | None = None,
     table_prefix: str = "",
+    register_tables: bool = False,
 ) -> dict:
     """All five loads for one chosen snapshot (silver appends, gold version).
 
@@ -453,7 +471,7 @@ def load_snapshot(
     hub and satellites and writes a dimension version equal to the last one,
     so a retried batch (e.g. a re-executed streaming micro-batch) is safe.
     """
-    silver = SilverTables(spark, paths, buckets, table_prefix)
+    silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -84,23 +84,39 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     return require_not_null(typed, spec.not_null, spec.name)
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def table_ddl(spec: TableSpec, path: str, table_name: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for ``spec``: typed columns, NOT
+    NULL flags, column and table comments and the ``CLUSTER BY`` columns
+    (recorded as the table's clustering columns), over an external folder."""
+    cols = []
+    for c in spec.columns:
+        col = f"`{c.name}` {c.dtype.simpleString()}"
+        if not c.nullable:
+            col += " NOT NULL"
+        if c.comment:
+            col += f" COMMENT {_sql_text(c.comment)}"
+        cols.append(col)
+    ddl = f"CREATE TABLE IF NOT EXISTS {table_name or spec.name} ({', '.join(cols)}) USING parquet"
+    if spec.comment:
+        ddl += f" COMMENT {_sql_text(spec.comment)}"
+    if spec.cluster_by:
+        ddl += " CLUSTER BY (" + ", ".join(f"`{c}`" for c in spec.cluster_by) + ")"
+    return ddl + f" LOCATION {_sql_text(path)}"
+
+
 def ensure_table(spark: SparkSession, spec: TableSpec, path: str, table_name: str | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS`` over ``path`` with the declared schema.
 
-    Registers an external Parquet table in the session catalog (comments kept
-    in the schema metadata).  Layout (``cluster_by``) is applied by the
-    writers, since Parquet has no clustering service.
+    Registers an external Parquet table in the session catalog with column
+    comments, NOT NULL flags (enforced by ``conform`` on write, since Parquet
+    tables accept NULLs), the table comment and the clustering columns.  The
+    layout itself is produced by the writers (sorted, well-sized files).
     """
-    name = table_name or spec.name
-    if spark.catalog.tableExists(name):
-        return
-    spark.catalog.createTable(
-        name,
-        path=path,
-        source="parquet",
-        schema=spec.schema,
-        description=spec.comment or None,
-    )
+    spark.sql(table_ddl(spec, path, table_name))
 
 
 def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:

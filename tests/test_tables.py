@@ -15,6 +15,9 @@ def test_ensure_table_registers_declared_schema_once(spark, scratch):
     assert list(cols) == cust.HUB_SPEC.column_names
     assert cols[cust.BK].dataType == "int" and cols[cust.HK].dataType == "binary"
     assert cols[cust.HK].description == "hash of the business key"
+    assert cols[cust.BK].isCluster  # CLUSTER BY (business key), as declared
+    info = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED hub_declared_test").collect()}
+    assert info["Comment"] == cust.HUB_SPEC.comment and info["Type"] == "EXTERNAL"
     spark.sql("DROP TABLE hub_declared_test")
 
 
@@ -50,3 +53,20 @@ def test_merge_writers_refuse_plain_parquet_tables(spark, scratch):
     with pytest.raises(ValueError, match="no row-level MERGE"):
         merge_upsert(rows, "hub_merge_test", [cust.BK])
     spark.sql("DROP TABLE hub_merge_test")
+
+
+def test_customer_run_registers_declared_silver_tables(spark, scratch):
+    from lakevault.plans.testdata import customer_bronze_two_days
+    from conftest import SF_SMALL
+
+    customer_bronze_two_days(spark, SF_SMALL).write.partitionBy("año", "mes", "dia").parquet(f"{scratch}/bronze")
+    paths = cust.LakePaths(f"{scratch}/bronze", *[f"{scratch}/{n}" for n in ("hub", "general", "phone", "email", "dim")])
+    cust.run_customer_load(
+        spark, paths, "2024-01-20 06:00:00", "s", "2024-01-20", 3, register_tables=True, table_prefix="reg_"
+    )
+    for spec in (cust.HUB_SPEC, cust.GENERAL_SPEC, cust.PHONE_SPEC, cust.EMAIL_SPEC):
+        table = f"reg_{spec.name}"
+        assert spark.table(table).count() == spark.read.parquet(getattr(paths, {
+            cust.HUB_TABLE: "hub", cust.SAT_GENERAL_TABLE: "general", cust.SAT_PHONE_TABLE: "phone",
+            cust.SAT_EMAIL_TABLE: "email"}[spec.name])).count() > 0
+        spark.sql(f"DROP TABLE {table}")
