@@ -92,15 +92,15 @@ def unknown_member(spark: SparkSession, dim: DataFrame, spec: DimensionSpec, ctx
 def ensure_unknown_member(dim: DataFrame, spec: DimensionSpec, ctx: LoadContext) -> DataFrame:
     """``dim`` plus the unknown member if it is not there yet (idempotent).
 
-    Lazy: the one-row member is anti-joined against an existence probe of the
-    unknown id (``limit(1)``: a proven one-row broadcast), no driver round
-    trip.
+    Lazy and join-free: the one-row member is kept only when an uncorrelated
+    ``NOT EXISTS`` over the dimension's unknown id holds; Spark evaluates it
+    once as a ``LIMIT 1`` subquery (a pruned, filter-pushed scan of the id
+    column), no driver round trip and no join.
     """
     spark = dim.sparkSession
     member = unknown_member(spark, dim, spec, ctx)
-    present = dim.filter(F.col(spec.id_col) == F.lit(spec.unknown_id)).select(spec.id_col).limit(1)
-    missing = member.join(present, on=spec.id_col, how="left_anti")
-    return dim.unionByName(missing)
+    present = dim.filter(F.col(spec.id_col) == F.lit(spec.unknown_id)).select(spec.id_col)
+    return dim.unionByName(member.where(~present.exists()))
 
 
 def scd1_classify(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
