@@ -1,6 +1,9 @@
-"""Print the formatted physical plan of registered queries.
+"""Print the physical plans of registered queries.
 
-Usage: python scripts/show_plans.py [sf_dir] [query ...]
+Usage: python scripts/show_plans.py [--at-scale] [--formatted] [sf_dir] [query ...]
+
+``--at-scale`` turns broadcast joins off, which is how the joins are planned
+when every side is large; the small test tables would otherwise be broadcast.
 """
 
 from __future__ import annotations
@@ -15,12 +18,17 @@ from lakevault.session import build_session  # noqa: E402
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    names = sys.argv[2:] or list(QUERIES)
-    spark = build_session()
+    args = sys.argv[1:]
+    at_scale = "--at-scale" in args
+    mode = "formatted" if "--formatted" in args else "simple"
+    args = [a for a in args if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.1"
+    names = args[1:] or list(QUERIES)
+    extra = {"spark.sql.autoBroadcastJoinThreshold": "-1"} if at_scale else {}
+    spark = build_session(extra_conf=extra)
     for name in names:
         print(f"===== {name}")
-        QUERIES[name](spark, sf).explain(mode="formatted")
+        QUERIES[name](spark, sf).explain(mode=mode)
     spark.stop()
 
 
