@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from lakevault.functions.columns import changed_any
 from lakevault.operators.context import LoadContext
 from lakevault.operators.surrogate import SINGLE_TASK_ROWS, assign_surrogate_keys
+from lakevault.sources.tables import materialize
 
 STATUS = "__status"
 KEPT, SAME, CHANGED, NEW = "kept", "same", "changed", "new"
@@ -200,6 +201,13 @@ def _numbering(
     return (max_id if start_after is None else start_after), n_new
 
 
+def _classified_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """The classification written once (``materialize``: one job, stored in
+    the session's checkpoint folder): the id statistics and the changed/new
+    branches then read stored rows instead of re-running the join."""
+    return materialize(scd1_classify(dim, current, spec), "scd1")
+
+
 def scd1_new(
     dim: DataFrame,
     current: DataFrame,
@@ -209,7 +217,7 @@ def scd1_new(
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Source keys not in the dimension, with ids ``max_id + 1 ..`` by key."""
-    classified = scd1_classify(dim, current, spec)
+    classified = _classified_once(dim, current, spec)
     start_after, n_new = _numbering(classified, spec, start_after)
     return _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
 
@@ -223,7 +231,7 @@ def scd1_delta(
     single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Changed rows followed by new rows (what a MERGE would upsert)."""
-    classified = scd1_classify(dim, current, spec)
+    classified = _classified_once(dim, current, spec)
     start_after, n_new = _numbering(classified, spec, start_after)
     return _changed_rows(classified, spec, ctx).unionByName(
         _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
@@ -244,12 +252,12 @@ def scd1_merge(
     Untouched and source-less rows keep their values and load time; changed
     rows are overwritten in place (same id); new keys get dense ids after the
     current maximum.  One small aggregate job over the classification yields
-    both the current maximum id and the number of new keys; pass a persisted
-    ``classified`` (from ``scd1_classify``) so that job and the final plan
-    share one evaluation of the join.
+    both the current maximum id and the number of new keys.  The join is
+    evaluated once: pass a persisted ``classified`` (from ``scd1_classify``),
+    or the classification is written once to the checkpoint folder.
     """
     if classified is None:
-        classified = scd1_classify(dim, current, spec)
+        classified = _classified_once(dim, current, spec)
     start_after, n_new = _numbering(classified, spec, start_after)
     is_changed = F.col(STATUS) == CHANGED
     existing = classified.filter(F.col(STATUS) != NEW).select(
