@@ -84,3 +84,9 @@ def test_interrupted_version_write_is_ignored(spark, scratch):
     assert write_state(state.withColumn("Nombre", F.lit("z")), spec, path, version) == 3
     state, version = read_state(spark, spec, path)
     assert version == 3 and [r["Nombre"] for r in state.collect()] == ["z"]
+
+
+def test_replay_runs_uses_the_production_loads_and_matches(spark):
+    bronze = customer_bronze_two_days(spark, SF_SMALL)
+    replayed = cust.replay_runs(spark, bronze, PIPELINE_RUNS, PIPELINE_LOOKBACK, "bronze/customers")
+    assert rows(replayed) == rows(pipeline_dimension_frame(spark, SF_SMALL))
