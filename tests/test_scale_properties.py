@@ -73,3 +73,21 @@ def test_pipeline_independent_of_shuffle_partitions(spark):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_every_registered_query_is_independent_of_shuffle_partitions(spark):
+    import __spark_entry__ as entry
+
+    def run(parts):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            out = {}
+            for name, fn in entry.queries().items():
+                df = fn(spark, SF_SMALL)
+                out[name] = sorted(tuple(str(v) for v in r) for r in df.collect())
+            return out
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    one, many = run("1"), run("37")
+    assert [n for n in one if one[n] != many[n]] == []
