@@ -65,3 +65,13 @@ def test_load_params_single_job_and_missing_key(spark):
         load_params(params, ["FechaProceso", "Nope"])
     row = params_frame(params, ["FechaProceso", "Otro"]).first()
     assert (row["FechaProceso"], row["Otro"]) == ("2024-01-20", "x")
+
+
+def test_invalid_partition_date_is_ignored_not_fatal(spark, scratch):
+    rows = [(1, 2024, 1, 18), (2, 2024, 13, 1), (3, 2024, 2, 30)]  # month 13, 30 February
+    df = spark.createDataFrame(rows, "customer_id int, `año` int, mes int, dia int")
+    df.write.partitionBy("año", "mes", "dia").parquet(f"{scratch}/bronze")
+    bronze = spark.read.parquet(f"{scratch}/bronze")
+    snap, newest = latest_snapshot(bronze, run_window("2024-03-05", 60), snapshot_date_from_parts())
+    assert newest == dt.date(2024, 1, 18)
+    assert [r["customer_id"] for r in snap.collect()] == [1]
