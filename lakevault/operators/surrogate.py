@@ -39,10 +39,10 @@ def _key(order_cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order_cols])
 
 
-def _literal(value, order_cols: Sequence[str]) -> Column:
+def _literal(value, order_cols: Sequence[str], types) -> Column:
     if len(order_cols) == 1:
-        return F.lit(value[0])
-    return F.struct(*[F.lit(v).alias(c) for v, c in zip(value, order_cols)])
+        return F.lit(value[0]).cast(types[0])
+    return F.struct(*[F.lit(v).cast(t).alias(c) for v, c, t in zip(value, order_cols, types)])
 
 
 def _bucket_expr(key: Column, bounds: list[Column], lo: int = 0) -> Column:
@@ -99,8 +99,16 @@ def assign_surrogate_keys(
         value = tuple(sample[min(len(sample) - 1, (i * len(sample)) // buckets)])
         if not picked or picked[-1] != value:
             picked.append(value)
-    bounds = [_literal(v, order_cols) for v in picked]
-    with_bucket = df.withColumn(_BUCKET, _bucket_expr(_key(order_cols), bounds))
+    types = [df.schema[c].dataType for c in order_cols]
+    if len(order_cols) == 1:
+        # NULL keys sort first: they get the lowest range (a NULL bound would
+        # compare as NULL, so sampled NULLs are not used as bounds)
+        picked = [v for v in picked if v[0] is not None]
+    bounds = [_literal(v, order_cols, types) for v in picked]
+    bucket = _bucket_expr(_key(order_cols), bounds)
+    if len(order_cols) == 1:
+        bucket = F.when(F.col(order_cols[0]).isNull(), F.lit(0)).otherwise(bucket)
+    with_bucket = df.withColumn(_BUCKET, bucket)
 
     # Offsets: rows in all lower buckets.  A grouped count gives <= max_buckets
     # rows; a running sum over them (one small task, size bounded by

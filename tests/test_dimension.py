@@ -111,3 +111,21 @@ def test_ids_independent_of_shuffle_partitions(spark):
         results.append(sorted(map(tuple, assign_surrogate_keys(df, ["k"], "sid", single_task_rows=100).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
+
+
+def test_distributed_ids_with_null_keys_match_global_window(spark):
+    # a NULL key sorts first in the global window; the range split must agree
+    single = spark.range(0, 3000).select(
+        F.when(F.col("id") == 1234, F.lit(None)).otherwise((F.col("id") * 37) % 3001).alias("k")
+    )
+    got = assign_surrogate_keys(single, ["k"], "sid", single_task_rows=100)
+    expect = single.withColumn("sid", F.row_number().over(Window.orderBy("k")))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expect.collect()), key=str)
+
+    composite = spark.range(0, 3000).select(
+        F.when(F.col("id") % 500 == 0, F.lit(None)).otherwise((F.col("id") % 7).cast("string")).alias("a"),
+        F.col("id").alias("b"),
+    )
+    got = assign_surrogate_keys(composite, ["a", "b"], "sid", single_task_rows=100)
+    expect = composite.withColumn("sid", F.row_number().over(Window.orderBy("a", "b")))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expect.collect()), key=str)
