@@ -35,11 +35,13 @@ def snapshot_stream(
     date_col=None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    trigger_interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start a stream calling ``on_snapshot(rows, date)`` per arrived snapshot.
 
     ``schema`` must include the partition columns (file streams do not infer
-    schemas).  Only the distinct snapshot dates of a micro-batch reach the
+    schemas).  ``available_now`` processes what has landed and stops (for a
+    scheduled job); otherwise the stream polls every ``trigger_interval``.  Only the distinct snapshot dates of a micro-batch reach the
     driver (a handful of values); the rows stay distributed.
     """
     reader = spark.readStream.schema(schema).format("parquet")
@@ -55,7 +57,7 @@ def snapshot_stream(
             on_snapshot(dated.filter(F.col(_DATE) == F.lit(day)).drop(_DATE), day)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 
