@@ -91,3 +91,19 @@ def test_every_registered_query_is_independent_of_shuffle_partitions(spark):
 
     one, many = run("1"), run("37")
     assert [n for n in one if one[n] != many[n]] == []
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    import __spark_entry__ as entry
+
+    bad = []
+    for threshold in (str(10 * 1024 * 1024), "-1"):  # default, and every side treated as large
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            for name, fn in entry.queries().items():
+                plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+                if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+                    bad.append((threshold, name))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    assert bad == []
