@@ -16,6 +16,7 @@ ColumnOrName = Column | str
 MODES = ("ever_seen", "latest")
 _BK = "__bk"
 _LATEST_HD = "__latest_hd"
+_PAYLOAD = "__payload"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -45,7 +46,7 @@ def satellite_stage(
     * ``row_filter``: rows to keep (e.g. a null-token check);
     * ``null_key``: ``"drop"`` removes rows without a key, a value replaces
       the missing key (such rows never join a hub row later);
-    * ``dedupe``: drop exact duplicate candidates (a partial aggregation).
+    * ``dedupe``: keep one candidate per (hk, hd) (a partial aggregation).
 
     Output: ``hk``, ``hd`` and the payload columns -- all narrow operations
     except the optional de-duplication.
@@ -68,7 +69,21 @@ def satellite_stage(
         hash_diff(_BK, *diff_names, bits=diff_bits, sep=sep, form=hash_form).alias(hd_col),
         *payload.keys(),
     )
-    return staged.distinct() if dedupe else staged
+    if not dedupe:
+        return staged
+    names = list(payload.keys())
+    if not names:
+        return staged.distinct()
+    # One candidate per (hk, hd).  Grouping on the two hash columns (not on
+    # every column) keeps the map-side partial aggregation -- copies of a hot
+    # pair collapse before the shuffle -- and leaves the result partitioned
+    # and sorted on (hk, hd), which the anti join then uses without a second
+    # exchange.  min(struct) makes the payload choice deterministic should
+    # two payloads ever share a diff hash.
+    best = F.min(F.struct(*[F.col(n) for n in names])).alias(_PAYLOAD)
+    return staged.groupBy(hk_col, hd_col).agg(best).select(
+        hk_col, hd_col, *[F.col(_PAYLOAD).getField(n).alias(n) for n in names]
+    )
 
 
 def satellite_history_keys(
