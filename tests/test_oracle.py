@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events").split()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def norm(v):
@@ -41,6 +42,10 @@ def test_query_matches_oracle(spark, duck, name):
     res = duck.execute(entry.oracle_sql()[name])
     d_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(d_cols)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     assert canon(df.columns, df.collect()) == canon(d_cols, res.fetchall())
 
 
