@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lakevault.operators import LoadContext, hub_new_rows, latest_per_key, satellite_new_rows, satellite_stage
-from lakevault.plans.queries import q_pipeline_dimension
+from lakevault.plans.queries import QUERIES, q_pipeline_dimension
 
 from conftest import SF_MID, SF_SMALL, plan_text
 
@@ -76,13 +76,11 @@ def test_pipeline_independent_of_shuffle_partitions(spark):
 
 
 def test_every_registered_query_is_independent_of_shuffle_partitions(spark):
-    import __spark_entry__ as entry
-
     def run(parts):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         try:
             out = {}
-            for name, fn in entry.queries().items():
+            for name, fn in QUERIES.items():
                 df = fn(spark, SF_SMALL)
                 out[name] = sorted(tuple(str(v) for v in r) for r in df.collect())
             return out
@@ -94,13 +92,11 @@ def test_every_registered_query_is_independent_of_shuffle_partitions(spark):
 
 
 def test_no_registered_query_plans_a_cross_join(spark):
-    import __spark_entry__ as entry
-
     bad = []
     for threshold in (str(10 * 1024 * 1024), "-1"):  # default, and every side treated as large
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         try:
-            for name, fn in entry.queries().items():
+            for name, fn in QUERIES.items():
                 plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
                 if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
                     bad.append((threshold, name))
