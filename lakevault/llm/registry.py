@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from lakevault.llm import quality
+from lakevault.llm import quality, warc
 
 LLM_QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
+    "op10_warc": warc.op10_warc,
 }
 
 LLM_SQL = {
     "op6_quality_rules": quality.OP6_SQL,
+    "op10_warc": warc.OP10_SQL,
 }
