@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, quality, warc
+from lakevault.llm import mixing, quality, topk, warc
 
 LLM_QUERIES = {
     "op4_source_mixing": mixing.op4_source_mixing,
+    "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
     "op6_quality_rules": quality.op6_quality_rules,
     "op10_warc": warc.op10_warc,
 }
 
 LLM_SQL = {
     "op4_source_mixing": mixing.OP4_SQL,
+    "op5_bit_sliced_topk": topk.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
     "op10_warc": warc.OP10_SQL,
 }
