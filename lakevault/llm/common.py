@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,33 @@ def words_of(text: Column) -> Column:
 
 def n_words_of(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
+
+
+@contextmanager
+def session_conf(spark: SparkSession, **settings: str):
+    """Session settings for the actions inside; dots are written as double underscores."""
+    names = {k.replace("__", "."): v for k, v in settings.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def staged_matches(big: DataFrame, ids: DataFrame, on: str, name: str) -> DataFrame:
+    """The rows of ``big`` whose ``on`` is in ``ids`` (a staged table, distinct), joined
+    with it and staged.  Spark sends a Bloom filter of the ids, at most 8 MB,
+    to the scan, so only matching rows (and false positives) are shuffled.
+    """
+    spark = big.sparkSession
+    ids = ids.filter(F.col(on) >= F.lit(-(1 << 63)))  # Spark builds a filter only over a filtered scan
+    with session_conf(
+        spark,
+        spark__sql__optimizer__runtime__bloomFilter__enabled="true",
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+        spark__sql__optimizer__runtime__bloomFilter__creationSideThreshold="1g",
+    ):
+        return staged(big.join(ids, on), name)
