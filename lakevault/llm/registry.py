@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, neardup, quality, topk, warc
+from lakevault.llm import mixing, neardup, quality, suffixdedup, topk, warc
 
 LLM_QUERIES = {
+    "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
     "op3_minhash_components": neardup.op3_minhash_components,
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
