@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, neardup, quality, suffixdedup, topk, warc
+from lakevault.llm import mixing, neardup, quality, secrets, suffixdedup, topk, warc
 
 LLM_QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op7_secret_scan": secrets.op7_secret_scan,
     "op10_warc": warc.op10_warc,
 }
 
@@ -17,5 +18,6 @@ LLM_SQL = {
     "op4_source_mixing": mixing.OP4_SQL,
     "op5_bit_sliced_topk": topk.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,
+    "op7_secret_scan": secrets.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
 }
