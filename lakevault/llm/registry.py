@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, neardup, quality, secrets, suffixdedup, topk, warc
+from lakevault.llm import mixing, neardup, pii, quality, secrets, suffixdedup, topk, warc
 
 LLM_QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ LLM_QUERIES = {
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_secret_scan": secrets.op7_secret_scan,
+    "op8_personal_data": pii.op8_personal_data,
     "op10_warc": warc.op10_warc,
 }
 
