@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, neardup, pii, quality, secrets, suffixdedup, topk, warc
+from lakevault.llm import mixing, neardup, pii, quality, secrets, suffixdedup, topk, toxicity, warc
 
 LLM_QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_minhash_components": neardup.op3_minhash_components,
     "op4_source_mixing": mixing.op4_source_mixing,
     "op5_bit_sliced_topk": topk.op5_bit_sliced_topk,
