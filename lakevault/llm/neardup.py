@@ -16,10 +16,12 @@ more; the classes are the connected components.
    probability of 0.263 ** 16 = 5e-10.
 3. Buckets: only keys held by two classes or more are kept.  Each class of a
    bucket is compared with the bucket's smallest; verified links are merged
-   into components.  Then, only for buckets that still hold several
-   components, the pairs across components are compared (after a 1-bit
-   sketch has ruled out distant ones).  So a bucket of thousands of copies
-   costs a star, not all its pairs, and no link between components is lost.
+   into components.  Buckets that still hold several components are searched
+   for pairs across components whose signatures differ in at most ERRORS
+   values; a bucket yields a spanning forest of them, not the pairs.  The
+   forests' trees (candidate clusters) are then compared text by text.  Buckets
+   and clusters of more than BLOCK members are dealt out as pairs of blocks,
+   so none is gathered in one task and no pair of documents becomes a row.
 4. Links are confirmed on the full sets of words.
 
 Edge cases: NULL or blank texts have an empty set and are linked with
@@ -45,11 +47,12 @@ from lakevault.llm.hashing import M1, Prefix, mix, slices_by_size, text_buffers
 
 CHUNKS, CHUNK = 16, 5
 VALUES = CHUNKS * CHUNK
-SKETCH_ERRORS = 26  # of 80 one-bit values; a pair at 80 % differs in 8 on average, deviation 2.7
+ERRORS = 40  # of 80 values; a pair at 80 % differs in 16 on average, deviation 3.6
+BLOCK = 512  # members of a group that are compared in one place
 CELL = 256  # members compared with one copy of a text
 
 SIGNATURES = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, sig binary"
-KEYS = "key bigint, doc_id bigint, s1 bigint, s2 bigint"
+KEYS = "key bigint, doc_id bigint"
 
 _FACTORS = np.random.default_rng(20240).integers(0, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -135,18 +138,14 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, whole.num_rows, 2000):
             batch = whole.slice(lo, 2000)
             sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, VALUES)
-            bits = np.zeros((len(sigs), 128), np.uint8)
-            bits[:, :VALUES] = sigs & 1
-            sketch = np.packbits(bits, axis=1).view(np.int64)
-            rep = lambda x: pa.array(np.repeat(x, VALUES))
             yield pa.record_batch(
-                [pa.array(chunk_keys(sigs).ravel().view(np.int64)), rep(batch.column(0).to_numpy()), rep(sketch[:, 0]), rep(sketch[:, 1])],
-                names=["key", "doc_id", "s1", "s2"],
+                [pa.array(chunk_keys(sigs).ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), VALUES))],
+                names=["key", "doc_id"],
             )
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(key, doc_id, s1, s2) of the keys that two classes or more hold."""
+    """(key, doc_id) of the keys that two classes or more hold."""
     rows = classes.select("doc_id", "sig").mapInArrow(_keys, KEYS)
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     return staged(rows.join(shared, "key"), "buckets")
@@ -222,8 +221,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     links = confirmed(star, texts, shingle, percent).union(ties)
     comp = staged(connected_components(links), "components")
 
-    across = _across(held, comp)
-    more = confirmed(across, texts, shingle, percent)
+    more = _across(held, comp, classes, texts, shingle, percent)
     comp = connected_components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     of_doc = class_of.join(comp, class_of["class_id"] == comp["node"], "left")
     of_doc = of_doc.groupBy("doc_id").agg(F.min(F.coalesce("component", "class_id")).alias("_component"))
@@ -234,17 +232,122 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     )
 
 
-def _across(held: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of one bucket that lie in different components, distant sketches left out."""
+def block_pairs(members: DataFrame, group: str, member: str, sizes: DataFrame) -> DataFrame:
+    """Adds (i, j, side): each member goes to every pair of blocks of its group that holds
+    its block.  ``sizes``: (group, n).  A group of up to BLOCK members is the one pair (0, 0)."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    m = members.join(sizes, group).withColumn("_b", F.pmod(F.xxhash64(member, F.lit("block")), blocks))
+    m = m.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    out = m.withColumns({"i": F.least("_b", "_o"), "j": F.greatest("_b", "_o"), "side": F.col("_b") > F.col("_o")})
+    return out.drop("_b", "_o", "n")
+
+
+def _close_pairs(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, one_block: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of different components with at most ERRORS differing values, by tiles."""
+    rows = np.flatnonzero(~side)
+    cols = rows if one_block else np.flatnonzero(side)
+    for lo in range(0, len(rows), 32):
+        r = rows[lo : lo + 32]
+        near = (sig[r][:, None, :] != sig[cols][None, :, :]).sum(axis=2) <= ERRORS
+        near &= comp[r][:, None] != comp[cols][None, :]
+        for x, y in zip(*np.nonzero(near), strict=True):
+            if r[x] != cols[y]:
+                yield int(r[x]), int(cols[y])
+
+
+class _Union:
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of rows that arrive sorted by ``keys``."""
+    held: list[pd.DataFrame] = []
+    for f in frames:
+        if not len(f):
+            continue
+        k = f[keys].to_numpy()
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(f)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            part = f.iloc[a:b]
+            if held and (held[-1][keys].to_numpy()[-1] != k[a]).any():
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def _matrix(sigs) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), "<u2").reshape(-1, VALUES)
+
+
+def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    out = []
+    for g in _groups(frames, ["key", "i", "j"]):
+        ids, union = g["doc_id"].to_numpy(), _Union()
+        for x, y in _close_pairs(_matrix(g["sig"]), g["component"].to_numpy(), g["side"].to_numpy(), g["i"].iloc[0] == g["j"].iloc[0]):
+            if union.join(int(ids[x]), int(ids[y])):
+                out.append((ids[x], ids[y]))
+        if len(out) > 10_000:
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            out = []
+    yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def _compare_clusters(shingle: int, percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = []
+        for g in _groups(frames, ["cluster", "i", "j"]):
+            ids, comp, texts = g["doc_id"].to_numpy(), g["component"].to_numpy(), g["text"].to_numpy()
+            sets: dict[int, set] = {}
+            union = _Union()
+            for x, y in _close_pairs(_matrix(g["sig"]), comp, g["side"].to_numpy(), g["i"].iloc[0] == g["j"].iloc[0]):
+                if union.find(int(comp[x])) == union.find(int(comp[y])):
+                    continue  # linked already, by way of others
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = exact_set(texts[z], shingle)
+                s, o = sets[x], sets[y]
+                both = len(s & o)
+                if both and 100 * both >= percent * (len(s) + len(o) - both):
+                    union.join(int(comp[x]), int(comp[y]))
+                    out.append((ids[x], ids[y]))
+        yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _across(held: DataFrame, comp: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components; enough of them to connect what is connected."""
     c = held.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     c = c.withColumn("component", F.coalesce("component", "doc_id"))
-    split = c.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    c = staged(c.join(split, "key"), "split-buckets")
-    x, y = c.alias("x"), c.alias("y")
-    near = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2"))) <= SKETCH_ERRORS
-    apart = F.col("x.component") < F.col("y.component")
-    p = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & near)
-    return p.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    split = c.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+    split = staged(split.filter("lo <> hi").select("key", "n"), "split-buckets")
+    c = block_pairs(c, "key", "doc_id", split).join(classes.select("doc_id", "sig"), "doc_id")
+    c = c.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    forest = c.select("key", "i", "j", "side", "doc_id", "component", "sig").mapInPandas(_forest, "a bigint, b bigint")
+
+    clusters = staged(connected_components(forest).withColumnRenamed("component", "cluster"), "clusters")
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    m = clusters.withColumnRenamed("node", "doc_id").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    m = block_pairs(m.withColumn("component", F.coalesce("component", "doc_id")), "cluster", "doc_id", sizes)
+    placed = staged(m.join(classes.select("doc_id", "sig"), "doc_id"), "cluster-blocks")
+    found = staged_matches(texts, staged(placed.select("doc_id").distinct(), "wanted"), "doc_id", "cluster-texts")
+    rows = found.join(placed, "doc_id").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    cols = ["cluster", "i", "j", "side", "doc_id", "component", "sig", "text"]
+    return staged(rows.select(*cols).mapInPandas(_compare_clusters(shingle, percent), "a bigint, b bigint").distinct(), "links-across")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
