@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakevault.llm import mixing, neardup, pii, quality, secrets, suffixdedup, topk, toxicity, warc
+from lakevault.llm import mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
 
 LLM_QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -13,6 +13,7 @@ LLM_QUERIES = {
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_secret_scan": secrets.op7_secret_scan,
     "op8_personal_data": pii.op8_personal_data,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_warc": warc.op10_warc,
 }
 
