@@ -215,7 +215,7 @@ def _ranges(length: int):
 def _hot_ranges(copies: DataFrame, length: int) -> DataFrame:
     """Repeats among the contents of names too frequent for one shard."""
     w = copies.mapInPandas(_windows(length), "w binary, name bigint, content bigint, at int")
-    twice = w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w")
+    twice = staged(w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("w"), "hot-windows")
     hits = w.join(twice, "w").groupBy("name", "content").agg(F.collect_list("at").alias("starts"))  # at most a piece's windows
     return hits.mapInPandas(_ranges(length), RANGES)
 
@@ -226,14 +226,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     ``docs`` is the output of ``keyed``.
     """
     pieces = docs.select("d", "t", "text").mapInArrow(_pieces(length, gram), PIECES)
-    shared = pieces.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    # a table of its own: both sides of the join are then dealt out anew, and AQE can split a hot name
+    shared = staged(pieces.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "shared-names")
     found = staged(pieces.join(shared, "name"), "shared-pieces")
 
     contents = found.groupBy("name", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "start", "windows")).alias("at")
     )
     contents = staged(contents, "contents")
-    kinds = contents.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    kinds = staged(contents.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "name-kinds")
     wanted = contents.join(kinds, "name").select("name", "content", "kinds", "at.*")
     wanted = wanted.groupBy("d", "t").agg(F.collect_list(F.struct("name", "content", "kinds", "start", "windows")).alias("pieces"))
     wanted = staged(wanted, "wanted-pieces")
