@@ -147,7 +147,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def buckets(classes: DataFrame) -> DataFrame:
     """(key, doc_id) of the keys that two classes or more hold."""
     rows = classes.select("doc_id", "sig").mapInArrow(_keys, KEYS)
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # a table of its own: both sides of the join are then dealt out anew, and AQE can split a hot key
+    shared = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared-keys")
     return staged(rows.join(shared, "key"), "buckets")
 
 
@@ -190,7 +191,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     a cell, and a copy, for every CELL of them.
     """
     pairs = staged(pairs.distinct(), "pairs")
-    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells"))
+    many = staged(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells")), "cell-counts")
     placed = staged(pairs.join(many, "a").withColumn("cell", F.pmod(F.xxhash64("b"), F.col("cells"))).drop("cells"), "cells")
     wanted = placed.select("a", "cell", F.col("b").alias("doc_id")).union(
         placed.select("a", "cell", F.col("a").alias("doc_id")).distinct()
@@ -216,7 +217,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     ties = class_of.join(ties.select("doc_id", "a"), "doc_id").select("a", F.col("class_id").alias("b")).filter("a <> b")
 
     held = buckets(classes)
-    least = held.groupBy("key").agg(F.min("doc_id").alias("a"))
+    least = staged(held.groupBy("key").agg(F.min("doc_id").alias("a")), "least")
     star = held.join(least, "key").filter("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     links = confirmed(star, texts, shingle, percent).union(ties)
     comp = staged(connected_components(links), "components")
@@ -340,7 +341,7 @@ def _across(held: DataFrame, comp: DataFrame, classes: DataFrame, texts: DataFra
     forest = c.select("key", "i", "j", "side", "doc_id", "component", "sig").mapInPandas(_forest, "a bigint, b bigint")
 
     clusters = staged(connected_components(forest).withColumnRenamed("component", "cluster"), "clusters")
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    sizes = staged(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster-sizes")
     m = clusters.withColumnRenamed("node", "doc_id").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     m = block_pairs(m.withColumn("component", F.coalesce("component", "doc_id")), "cluster", "doc_id", sizes)
     placed = staged(m.join(classes.select("doc_id", "sig"), "doc_id"), "cluster-blocks")
