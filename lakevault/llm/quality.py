@@ -140,8 +140,11 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = QUALITY_RULES, tex
     """
     i = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    kept = _measure(i).filter(~base_failed() & compile_rules(rules))
-    return kept.select("_row.*")
+    m = _measure(i).withColumn("_keep", ~base_failed() & compile_rules(rules))
+    # the row number keeps the optimizer from moving the filter below the measures,
+    # which would write each of them out once for every use
+    m = m.withColumn("_place", F.monotonically_increasing_id())
+    return m.filter("_keep AND _place >= 0").select("_row.*")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
