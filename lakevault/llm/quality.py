@@ -107,7 +107,11 @@ def _measure(i: DataFrame) -> DataFrame:
         ),
         lambda acc: acc["n"],
     )
-    return d.withColumn("n_repeat_words", covered).drop("_starts")
+    # measured once: a filter on a measure can't move below a generator, where the
+    # optimizer would write each measure out again for every use
+    names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words")
+    once = F.inline(F.array(F.struct(*[F.col(n) for n in names], covered.alias("n_repeat_words"))))
+    return d.select(*[F.col(f"`{c}`") for c in i.columns], once)
 
 
 def base_failed() -> Column:
@@ -140,11 +144,7 @@ def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = QUALITY_RULES, tex
     """
     i = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    m = _measure(i).withColumn("_keep", ~base_failed() & compile_rules(rules))
-    # the row number keeps the optimizer from moving the filter below the measures,
-    # which would write each of them out once for every use
-    m = m.withColumn("_place", F.monotonically_increasing_id())
-    return m.filter("_keep AND _place >= 0").select("_row.*")
+    return _measure(i).filter(~base_failed() & compile_rules(rules)).select("_row.*")
 
 
 def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
