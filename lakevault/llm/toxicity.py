@@ -7,7 +7,7 @@ pi = P(toxic), the risk of calling U clean is corrected for the toxic texts in i
     pi R_p(+) + max(0, R_u(-) - pi R_p(-))
 
 where the maximum keeps the corrected part from going below zero (if it does,
-its gradient is followed upwards).  MODELS classifiers see different halves
+its gradient is followed upwards).  MODELS classifiers see different parts
 of U; the score is their mean probability.
 
 Labels of rows with crc32(id) mod 3 = 1 are never read: they are held out.
@@ -41,7 +41,8 @@ MIN_TEXTS = 40  # a feature counts if that many sampled texts hold it
 KEPT = 4096  # features of the largest weights that stay in the classifier
 MODELS = 3
 STEPS = 220
-DECAY = 6e-5
+DECAY = 0.2  # of the squared weights, over the number of toxic texts
+SHARE = 0.8  # of the unlabelled texts for each classifier
 RATE = 0.05
 THRESHOLD = 0.7
 
@@ -119,7 +120,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     weights, biases = [], []
     for m in range(models):
         rng = np.random.default_rng(m)
-        used = is_p | (rng.random(len(texts)) < (0.5 if models > 1 and len(unlabelled) > 400 else 1.0))
+        used = is_p | (rng.random(len(texts)) < SHARE)
         w, b = _minimise(text[used[text]], at[used[text]], is_p & used, ~is_p & used, len(words), prior, steps)
         weights.append(w)
         biases.append(b)
@@ -146,7 +147,7 @@ def _minimise(text, at, p, u, n_words: int, prior: float, steps: int) -> tuple[n
             g[p] = prior * s[p] / n_p
             g[u] = -s[u] / n_u
         grad = np.append(np.bincount(at, g[text], n_words), g.sum())
-        grad[:-1] += DECAY * w[:-1]
+        grad[:-1] += DECAY / n_p * w[:-1]
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
         w -= RATE * (1 - t / (steps + 1)) * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-8)
