@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from lakevault.functions.columns import changed_any
 from lakevault.operators.context import LoadContext
-from lakevault.operators.surrogate import SINGLE_TASK_ROWS, assign_surrogate_keys
+from lakevault.operators.surrogate import assign_surrogate_keys
 from lakevault.sources.tables import materialize
 
 STATUS = "__status"
@@ -166,14 +166,13 @@ def _new_rows(
     spec: DimensionSpec,
     ctx: LoadContext,
     start_after: int,
-    single_task_rows: int,
     total: int | None = None,
 ) -> DataFrame:
     fresh = classified.filter(F.col(STATUS) == NEW).select(
         *spec.bk_cols, *[F.col(_new(a)).alias(a) for a in spec.attrs]
     )
     numbered = assign_surrogate_keys(
-        fresh, list(spec.bk_cols), spec.id_col, start_after, single_task_rows=single_task_rows, total=total
+        fresh, list(spec.bk_cols), spec.id_col, start_after, total=total
     )
     return numbered.select(
         spec.id_col, *spec.bk_cols, *spec.attrs, ctx.load_ts_col().alias(spec.load_col)
@@ -201,6 +200,16 @@ def _numbering(
     return (max_id if start_after is None else start_after), n_new
 
 
+def _differences_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
+    """The changed and new rows of the classification, written once."""
+    return materialize(scd1_classify(dim, current, spec).filter(F.col(STATUS).isin(CHANGED, NEW)), "scd1")
+
+
+def count_differences(classified: DataFrame) -> int:
+    """Number of changed and new rows."""
+    return classified.filter(F.col(STATUS).isin(CHANGED, NEW)).count()
+
+
 def _classified_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
     """The classification written once (``materialize``: one job, stored in
     the session's checkpoint folder): the id statistics and the changed/new
@@ -214,12 +223,13 @@ def scd1_new(
     spec: DimensionSpec,
     ctx: LoadContext,
     start_after: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Source keys not in the dimension, with ids ``max_id + 1 ..`` by key."""
-    classified = _classified_once(dim, current, spec)
-    start_after, n_new = _numbering(classified, spec, start_after)
-    return _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
+    classified = _differences_once(dim, current, spec)
+    if start_after is None:
+        start_after = max_surrogate_value(dim, spec)
+    n_new = classified.filter(F.col(STATUS) == NEW).count()
+    return _new_rows(classified, spec, ctx, start_after, n_new)
 
 
 def scd1_delta(
@@ -228,13 +238,14 @@ def scd1_delta(
     spec: DimensionSpec,
     ctx: LoadContext,
     start_after: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Changed rows followed by new rows (what a MERGE would upsert)."""
-    classified = _classified_once(dim, current, spec)
-    start_after, n_new = _numbering(classified, spec, start_after)
+    classified = _differences_once(dim, current, spec)
+    if start_after is None:
+        start_after = max_surrogate_value(dim, spec)
+    n_new = classified.filter(F.col(STATUS) == NEW).count()
     return _changed_rows(classified, spec, ctx).unionByName(
-        _new_rows(classified, spec, ctx, start_after, single_task_rows, n_new)
+        _new_rows(classified, spec, ctx, start_after, n_new)
     )
 
 
@@ -244,7 +255,6 @@ def scd1_merge(
     spec: DimensionSpec,
     ctx: LoadContext,
     start_after: int | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
     classified: DataFrame | None = None,
 ) -> DataFrame:
     """The dimension's new full state after an upsert of ``current``.
@@ -266,4 +276,4 @@ def scd1_merge(
         *[F.when(is_changed, F.col(_new(a))).otherwise(F.col(_old(a))).alias(a) for a in spec.attrs],
         F.when(is_changed, ctx.load_ts_col()).otherwise(F.col(_old(spec.load_col))).alias(spec.load_col),
     )
-    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, single_task_rows, n_new))
+    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, n_new))

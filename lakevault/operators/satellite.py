@@ -15,7 +15,6 @@ ColumnOrName = Column | str
 
 MODES = ("ever_seen", "latest")
 _BK = "__bk"
-_LATEST_HD = "__latest_hd"
 _PAYLOAD = "__payload"
 
 
@@ -100,7 +99,8 @@ def satellite_history_keys(
     key (ties broken by the smaller diff hash), so a return is stored.
     """
     if mode == "ever_seen":
-        return satellite.select(hk_col, hd_col)
+        # distinct: a pair that fills a third of the history is one row per task before the shuffle
+        return satellite.select(hk_col, hd_col).distinct()
     if mode == "latest":
         newest = latest_per_key(
             satellite.select(hk_col, hd_col, load_col),
@@ -125,24 +125,15 @@ def satellite_new_rows(
     """Candidates not yet in the satellite under ``mode``, stamped with the
     run's load time and record source (append them to load the satellite).
 
-    The comparison is an anti join on (hk, hd); only the two hash columns of
-    the history are read, and AQE broadcasts the candidates or the history
-    when either turns out small.
+    The comparison is an anti join on (hk, hd) in both modes; only the two
+    hash columns of the history are read.  In ``latest`` mode the history is
+    one newest row per key, so "the newest row has another diff hash" and "no
+    newest row with this diff hash" are the same.  The candidates keep the
+    (hk, hd) partitioning of their de-duplication: they aren't shuffled again,
+    and the states of a hot key are spread by their diff hash.
     """
-    if mode == "latest":
-        # One newest row per hk: a candidate is new when its key has no
-        # stored row or the newest one carries another diff hash.  Joining on
-        # hk alone re-uses the hk partitioning the window left behind, so the
-        # reduced history (one row per key) is not shuffled a second time.
-        newest = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col).withColumnRenamed(
-            hd_col, _LATEST_HD
-        )
-        new = staged.join(newest, on=hk_col, how="left").filter(
-            F.col(_LATEST_HD).isNull() | (F.col(hd_col) != F.col(_LATEST_HD))
-        ).drop(_LATEST_HD)
-    else:
-        history = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col)
-        new = staged.join(history, on=[hk_col, hd_col], how="left_anti")
+    history = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col)
+    new = staged.join(history, on=[hk_col, hd_col], how="left_anti")
     payload = [c for c in staged.columns if c not in (hk_col, hd_col)]
     return new.select(
         hk_col,

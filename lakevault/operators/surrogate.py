@@ -2,15 +2,13 @@
 
 ``row_number() OVER (ORDER BY key) + max_id`` is the textbook expression, but
 an un-partitioned window moves every row into one task.  Here the rows are
-cut into key ranges: each row's range ("bucket") is a pure function of its
-key and a handful of literal range bounds, so
+dealt into key ranges and stored with their range number; then
 
-1. a grouped count per bucket gives every bucket its starting offset, and
-2. ``row_number()`` runs per bucket, in parallel, on its own key range.
+1. a grouped count per range gives every range its starting offset, and
+2. ``row_number()`` runs per range, in parallel, on its own keys.
 
-Because the bucket is computed from the key alone (not from a partition id),
-a recomputed task after an executor loss lands every row in the same bucket
-with the same number -- no checkpoint is needed for consistency.
+The range number is stored with the row (in the shared checkpoint folder), so
+a task that is run again after an executor loss reads the same numbers.
 """
 
 from __future__ import annotations
@@ -18,42 +16,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "__bucket"
+from lakevault.sources.tables import materialize
 
-# Upper bound on the number of key ranges: it bounds both the literal bounds
-# expression (a balanced comparison tree of depth log2) and the broadcast
-# table of per-bucket offsets.
-MAX_BUCKETS = 512
-# Rows up to which the plain one-partition window is used (count is checked).
-SINGLE_TASK_ROWS = 1_000_000
-# Sampled keys per bucket used to place the range bounds.
-SAMPLES_PER_BUCKET = 64
+_RANGE = "__range"
 
-
-def _key(order_cols: Sequence[str]) -> Column:
-    if len(order_cols) == 1:
-        return F.col(order_cols[0])
-    return F.struct(*[F.col(c) for c in order_cols])
-
-
-def _literal(value, order_cols: Sequence[str], types) -> Column:
-    if len(order_cols) == 1:
-        return F.lit(value[0]).cast(types[0])
-    return F.struct(*[F.lit(v).cast(t).alias(c) for v, c, t in zip(value, order_cols, types)])
-
-
-def _bucket_expr(key: Column, bounds: list[Column], lo: int = 0) -> Column:
-    """Index of the range holding ``key``: number of bounds <= key, found by
-    a balanced tree of comparisons (depth ~log2(len(bounds)))."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(key < bounds[mid], _bucket_expr(key, bounds[:mid], lo)).otherwise(
-        _bucket_expr(key, bounds[mid + 1 :], lo + mid + 1)
-    )
+# Rows that one task numbers, about; the number of ranges has no ceiling.
+ROWS_PER_RANGE = 200_000
 
 
 def assign_surrogate_keys(
@@ -61,68 +32,32 @@ def assign_surrogate_keys(
     order_cols: Sequence[str],
     id_col: str,
     start_after: int = 0,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-    max_buckets: int = MAX_BUCKETS,
-    seed: int = 17,
+    rows_per_range: int = ROWS_PER_RANGE,
     total: int | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = ``start_after + 1 ..`` densely, ordered by ``order_cols``.
 
     Equal to ``row_number() OVER (ORDER BY order_cols) + start_after`` for
-    unique keys.  Runs a row count first; up to ``single_task_rows`` rows the
-    plain window is used (its single task is then of checked, small size).
-    Above that: a bounded key sample places at most ``max_buckets`` range
-    bounds, a grouped count per bucket turns into starting offsets (a
-    broadcast of at most ``max_buckets`` rows), and the numbering is a
-    window partitioned by bucket.
-    Persist ``df`` first if it is expensive to recompute: it is scanned by the
-    count, the sample, the bucket counts and the final plan.  Pass ``total``
-    when the row count is already known to skip the counting job.
+    unique keys (NULL keys come first).  There are ``rows / rows_per_range``
+    ranges, and as many as there are shuffle partitions at least.  Pass
+    ``total`` when the row count is already known to skip the counting job.
     """
     if not order_cols:
         raise ValueError("assign_surrogate_keys needs at least one order column")
     if total is None:
         total = df.count()
-    order = [F.col(c).asc() for c in order_cols]
-    if total <= single_task_rows:
-        w = Window.orderBy(*order)
-        return df.withColumn(id_col, F.row_number().over(w).cast("long") + F.lit(start_after))
-
-    buckets = min(max_buckets, math.ceil(total / single_task_rows))
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / total)
-    # Spark sorts the (bounded) sample so bounds follow Spark's own ordering.
-    sample = df.select(*order_cols).sample(False, fraction, seed).orderBy(*order).collect()
-    picked = []
-    for i in range(1, buckets):
-        if not sample:
-            break
-        value = tuple(sample[min(len(sample) - 1, (i * len(sample)) // buckets)])
-        if not picked or picked[-1] != value:
-            picked.append(value)
-    types = [df.schema[c].dataType for c in order_cols]
-    if len(order_cols) == 1:
-        # NULL keys sort first: they get the lowest range (a NULL bound would
-        # compare as NULL, so sampled NULLs are not used as bounds)
-        picked = [v for v in picked if v[0] is not None]
-    bounds = [_literal(v, order_cols, types) for v in picked]
-    bucket = _bucket_expr(_key(order_cols), bounds)
-    if len(order_cols) == 1:
-        bucket = F.when(F.col(order_cols[0]).isNull(), F.lit(0)).otherwise(bucket)
-    with_bucket = df.withColumn(_BUCKET, bucket)
-
-    # Offsets: rows in all lower buckets.  A grouped count gives <= max_buckets
-    # rows; a running sum over them (one small task, size bounded by
-    # max_buckets) is broadcast back -- no extra driver round trip.
-    counts = with_bucket.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        _BUCKET,
-        (F.sum("__n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("__n")).alias("__offset"),
-    )
-    w = Window.partitionBy(_BUCKET).orderBy(*order)
-    numbered = with_bucket.withColumn("__local", F.row_number().over(w).cast("long")).join(
-        F.broadcast(offsets), on=_BUCKET, how="inner"
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, math.ceil(total / rows_per_range))
+    dealt = df.repartitionByRange(ranges, *[F.col(c).asc() for c in order_cols]).withColumn(_RANGE, F.spark_partition_id())
+    stored = materialize(dealt, "ranges", rebalance=False)
+
+    # rows in all lower ranges: a running sum over one row per range
+    counts = stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    own = Window.partitionBy(_RANGE).orderBy(*[F.col(c).asc() for c in order_cols])
+    numbered = stored.withColumn("__local", F.row_number().over(own).cast("long")).join(offsets, on=_RANGE)
+    return numbered.withColumn(id_col, F.col("__local") + F.col("__offset") + F.lit(start_after)).drop(
+        _RANGE, "__local", "__offset"
     )
-    return numbered.withColumn(
-        id_col, F.col("__local") + F.col("__offset") + F.lit(start_after)
-    ).drop(_BUCKET, "__local", "__offset")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.functions.columns import (
-    FIELD_SEPARATOR,
     clean_positive_int,
     clean_text,
     default_if_blank,
@@ -25,6 +24,7 @@ from lakevault.functions.columns import (
 )
 from lakevault.operators.context import LoadContext
 from lakevault.operators.dimension import (
+    count_differences,
     DimensionSpec,
     ensure_unknown_member,
     scd1_classify,
@@ -44,7 +44,6 @@ from lakevault.sources.tables import (
     empty_frame,
     ensure_bucketed_table,
     ensure_table,
-    materialize,
     read_bucketed,
     read_state,
     read_table,
@@ -85,6 +84,12 @@ NOT_DEFINED = "No Definido"
 CODE_NOT_AVAILABLE = "(N/D)"
 NULL_TOKEN = "NULL"
 MISSING_NUMBER = -1
+PARAM_KEY_COL = "Clave"
+PARAM_VALUE_COL = "Valor"
+# Stored tables hash their fields without a separator; another one would make every stored row look new.
+STORED_SEPARATOR = ""
+# The columns of the daily extract that the loads read.
+EXTRACT_COLUMNS = ("customer_id", "first_name", "last_name", "street", "city", "state", "zip_code", "phone", "email")
 PARAM_PROCESS_DATE = "FechaProceso"
 PARAM_LOOKBACK_DAYS = "DiasCargarBorrar"
 # ---------------------------------------------------------------------------
@@ -177,7 +182,7 @@ def hub_rows(snapshot: DataFrame, hub: DataFrame, ctx: LoadContext) -> DataFrame
     )
 
 
-def general_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: int = 512) -> DataFrame:
+def general_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: int = 512) -> DataFrame:
     payload = {
         "Nombre": clean_text("first_name", NOT_RECORDED),
         "Apellido": clean_text("last_name", NOT_RECORDED),
@@ -192,7 +197,7 @@ def general_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: in
 
 
 def general_rows(
-    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = FIELD_SEPARATOR
+    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = STORED_SEPARATOR
 ) -> DataFrame:
     """New name/address states.  Compared with every stored state by default
     (a return to an earlier state is not stored again)."""
@@ -201,7 +206,7 @@ def general_rows(
     )
 
 
-def phone_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: int = 512) -> DataFrame:
+def phone_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: int = 512) -> DataFrame:
     area, rest, number = split_phone("phone")
     return satellite_stage(
         snapshot,
@@ -218,7 +223,7 @@ def phone_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: int
 
 
 def phone_rows(
-    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = FIELD_SEPARATOR
+    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = STORED_SEPARATOR
 ) -> DataFrame:
     """New phone states; load time truncated to the day."""
     return satellite_new_rows(
@@ -227,7 +232,7 @@ def phone_rows(
     )
 
 
-def email_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: int = 512) -> DataFrame:
+def email_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: int = 512) -> DataFrame:
     email = default_if_null("email", NOT_DEFINED)
     return satellite_stage(
         snapshot,
@@ -243,7 +248,7 @@ def email_stage(snapshot: DataFrame, sep: str = FIELD_SEPARATOR, diff_bits: int
 
 
 def email_rows(
-    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = FIELD_SEPARATOR
+    snapshot: DataFrame, sat: DataFrame, ctx: LoadContext, mode: str = "ever_seen", sep: str = STORED_SEPARATOR
 ) -> DataFrame:
     return satellite_new_rows(
         email_stage(snapshot, sep), sat, ctx, mode, hk_col=HK, hd_col=HD, load_col=LOAD, source_col=SOURCE,
@@ -277,7 +282,7 @@ def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classifie
     return scd1_merge(with_unknown, view, DIM_SPEC, ctx, classified=classified)
 
 
-# --- in-memory replay (no storage) -------------------------------------------------
+# --- concurrent jobs ----------------------------------------------------------------
 
 
 def run_concurrently(jobs: dict) -> dict:
@@ -290,66 +295,6 @@ def run_concurrently(jobs: dict) -> dict:
         return {name: fut.result() for name, fut in futures.items()}
 
 
-@dataclass
-class VaultState:
-    hub: DataFrame
-    general: DataFrame
-    phone: DataFrame
-    email: DataFrame
-    dim: DataFrame
-
-
-def empty_state(spark: SparkSession) -> VaultState:
-    def empty(spec: TableSpec) -> DataFrame:
-        return empty_frame(spark, spec)
-
-    return VaultState(
-        hub=empty(HUB_SPEC),
-        general=empty(GENERAL_SPEC),
-        phone=empty(PHONE_SPEC),
-        email=empty(EMAIL_SPEC),
-        dim=empty(DIM_SPEC_TABLE),
-    )
-
-
-def load_day(state: VaultState, snapshot: DataFrame, ctx: LoadContext, sep: str = FIELD_SEPARATOR) -> VaultState:
-    """One run of all five loads; the new states are written once.
-
-    Each new state goes to the session's reliable checkpoint folder
-    (``spark.checkpoint.dir``) and is read back, so the next day's plans
-    start from stored data instead of replaying every earlier day, and a
-    lost executor never forces a replay of the whole history.
-    """
-    snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        loads = {
-            "hub": lambda: state.hub.unionByName(hub_rows(snapshot, state.hub, ctx).select(*HUB_SPEC.column_names)),
-            "general": lambda: state.general.unionByName(
-                general_rows(snapshot, state.general, ctx, sep=sep).select(*GENERAL_SPEC.column_names)
-            ),
-            "phone": lambda: state.phone.unionByName(
-                phone_rows(snapshot, state.phone, ctx, sep=sep).select(*PHONE_SPEC.column_names)
-            ),
-            "email": lambda: state.email.unionByName(
-                email_rows(snapshot, state.email, ctx, sep=sep).select(*EMAIL_SPEC.column_names)
-            ),
-        }
-        done = run_concurrently({name: (lambda f=f, n=name: materialize(f(), n)) for name, f in loads.items()})
-        hub, general, phone, email = done["hub"], done["general"], done["phone"], done["email"]
-    finally:
-        snapshot.unpersist()
-    view = current_view(hub, general, phone)
-    with_unknown = ensure_unknown_member(state.dim, DIM_SPEC, ctx)
-    classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        dim = dimension_state(state.dim, view, ctx, classified=classified)
-        dim = dim.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in DIM_SPEC_TABLE.columns])
-        dim = materialize(dim, "dim")
-    finally:
-        classified.unpersist()
-    return VaultState(hub=hub, general=general, phone=phone, email=email, dim=dim)
-
-
 # --- storage-backed run ---------------------------------------------------------------
 
 
@@ -418,7 +363,7 @@ def replay_runs(
     runs,
     lookback_days: int,
     record_source: str,
-    sep: str = FIELD_SEPARATOR,
+    sep: str = STORED_SEPARATOR,
 ) -> DataFrame:
     """Replay daily runs ``[(process_date, load_ts), ...]`` over a bronze
     DataFrame with the production loads (appends + dimension versions) into a
@@ -447,10 +392,12 @@ def run_customer_load(
     process_date: str | None = None,
     lookback_days: int | None = None,
     params: DataFrame | None = None,
-    sep: str = FIELD_SEPARATOR,
+    sep: str = STORED_SEPARATOR,
     buckets: int | None = None,
     table_prefix: str = "",
     register_tables: bool = False,
+    mode: str = "ever_seen",
+    phone_how: str = "inner",
 ) -> dict:
     """Bronze -> silver -> gold for one process date.
 
@@ -460,7 +407,7 @@ def run_customer_load(
     storage, which cuts the lineage between the layers.
     """
     if params is not None:
-        found = load_params(params, [PARAM_PROCESS_DATE, PARAM_LOOKBACK_DAYS])
+        found = load_params(params, [PARAM_PROCESS_DATE, PARAM_LOOKBACK_DAYS], PARAM_KEY_COL, PARAM_VALUE_COL)
         process_date = process_date or found[PARAM_PROCESS_DATE]
         lookback_days = lookback_days if lookback_days is not None else int(found[PARAM_LOOKBACK_DAYS])
     if process_date is None or lookback_days is None:
@@ -476,7 +423,7 @@ def run_customer_load(
     summary.update(
         load_snapshot(
             spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix,
-            register_tables=register_tables,
+            register_tables=register_tables, mode=mode, phone_how=phone_how,
         )
     )
     return summary
@@ -487,39 +434,44 @@ def load_snapshot(
     snapshot: DataFrame,
     paths: LakePaths,
     ctx: LoadContext,
-    sep: str = FIELD_SEPARATOR,
+    sep: str = STORED_SEPARATOR,
     buckets: int | None = None,
     table_prefix: str = "",
     register_tables: bool = False,
+    mode: str = "ever_seen",
+    phone_how: str = "inner",
 ) -> dict:
     """All five loads for one chosen snapshot (silver appends, gold version).
 
     Idempotent: re-running it for the same snapshot appends nothing to the
-    hub and satellites and writes a dimension version equal to the last one,
-    so a retried batch (e.g. a re-executed streaming micro-batch) is safe.
+    hub and satellites and writes no dimension version, so a retried batch
+    (e.g. a re-executed streaming micro-batch) is safe.  ``mode`` is the
+    satellites' comparison, ``phone_how`` the dimension's join with phones.
     """
     silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
-    snapshot = snapshot.persist(StorageLevel.MEMORY_AND_DISK)
+    snapshot = snapshot.select(*EXTRACT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         # the four silver loads are independent jobs: submit them together
         run_concurrently(
             {
                 "hub": lambda: silver.append("hub", hub_rows(snapshot, silver.read("hub"), ctx)),
-                "general": lambda: silver.append("general", general_rows(snapshot, silver.read("general"), ctx, sep=sep)),
-                "phone": lambda: silver.append("phone", phone_rows(snapshot, silver.read("phone"), ctx, sep=sep)),
-                "email": lambda: silver.append("email", email_rows(snapshot, silver.read("email"), ctx, sep=sep)),
+                "general": lambda: silver.append("general", general_rows(snapshot, silver.read("general"), ctx, mode, sep)),
+                "phone": lambda: silver.append("phone", phone_rows(snapshot, silver.read("phone"), ctx, mode, sep)),
+                "email": lambda: silver.append("email", email_rows(snapshot, silver.read("email"), ctx, mode, sep)),
             }
         )
     finally:
         snapshot.unpersist()
 
-    view = current_view(silver.read("hub"), silver.read("general"), silver.read("phone"))
+    view = current_view(silver.read("hub"), silver.read("general"), silver.read("phone"), phone_how)
     dim_bucketing = Bucketing(f"{table_prefix}{DIM_TABLE}", (DIM_BK,), buckets) if buckets else None
     dim, version = read_state(spark, DIM_SPEC_TABLE, paths.dim, dim_bucketing)
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
     classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if version is not None and not count_differences(classified):
+            return {"dim_version": version}  # nothing to write
         state = dimension_state(dim, view, ctx, classified=classified)
         return {"dim_version": write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)}
     finally:

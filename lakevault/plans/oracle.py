@@ -70,7 +70,7 @@ def _satellite_events(mode: str) -> str:
 WITH s AS (
   SELECT DISTINCT {EVENT_HK} AS hk, {EVENT_HD} AS hd, user_id, event_type, {EVENT_BUCKET} AS value_bucket
   FROM events
-  WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00' AND ts < TIMESTAMP '2024-01-21 00:00:00'
+  WHERE user_id IS NOT NULL AND ts >= TIMESTAMP '2024-01-20 00:00:00'
 ),
 hist AS (
   SELECT DISTINCT {EVENT_HK} AS hk, {EVENT_HD} AS hd, ts AS load_ts
@@ -344,6 +344,12 @@ JOIN el ON el.hk = sha256(CAST(h.customer_key AS VARCHAR))
     "unknown_member": _DIM_CTE
     + "\nSELECT count(*) AS total_rows, count(*) FILTER (WHERE dim_id = -1) AS unknown_rows FROM dim",
     "max_surrogate_key": _DIM_CTE + "\nSELECT CAST(coalesce(max(dim_id), 0) AS BIGINT) AS max_id FROM dim WHERE dim_id >= 1",
+    "hash_diff_compat": """
+SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR) || c_name || c_mktsegment || CAST(c_nationkey AS VARCHAR)) AS hd FROM customer
+""",
+    "surrogate_keys": """
+SELECT l_orderkey, 100 + row_number() OVER (ORDER BY l_orderkey) AS order_id FROM (SELECT DISTINCT l_orderkey FROM lineitem)
+""",
     "param_lookup": """
 SELECT max(CASE WHEN r_name = 'AFRICA' THEN CAST(r_regionkey AS VARCHAR) END) AS "AFRICA",
        max(CASE WHEN r_name = 'ASIA' THEN CAST(r_regionkey AS VARCHAR) END) AS "ASIA",

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.functions.columns import (
+    FIELD_SEPARATOR,
     clean_positive_int,
     clean_text,
     drop_null_tokens,
@@ -41,7 +42,7 @@ from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.operators.surrogate import assign_surrogate_keys
 from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_bronze_two_days, customer_snapshot, table
-from lakevault.sources.params import params_frame
+from lakevault.sources.params import load_params
 from lakevault.sources.snapshots import latest_snapshot, run_window
 from lakevault.sources.tables import empty_frame
 
@@ -122,6 +123,14 @@ def q_hash_diff_256(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q_hash_diff_compat(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored tables' form of the change hash: no separator."""
+    c = table(spark, sf, "customer")
+    return c.select(
+        "c_custkey", hash_diff("c_custkey", "c_name", "c_mktsegment", "c_nationkey", bits=256, sep="", form="hex").alias("hd")
+    )
+
+
 def q_clean_attributes(spark: SparkSession, sf: str) -> DataFrame:
     snap = customer_snapshot(spark, sf)
     return snap.select(
@@ -194,8 +203,7 @@ def _events_satellite(events: DataFrame, with_load: bool) -> DataFrame:
 def _satellite_events(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     events = table(spark, sf, "events")
     day = F.to_timestamp(F.lit(PROCESS_DATE + " 00:00:00"))
-    next_day = F.to_timestamp(F.lit("2024-01-21 00:00:00"))
-    staged = _events_satellite(events.filter((F.col("ts") >= day) & (F.col("ts") < next_day)), with_load=False)
+    staged = _events_satellite(events.filter(F.col("ts") >= day), with_load=False)
     history = _events_satellite(events.filter(F.col("ts") < day), with_load=True)
     new = satellite_new_rows(staged, history, LoadContext(LOAD_TS, "events"), mode=mode)
     return new.select("hk", "hd", "user_id", "event_type", "value_bucket", _ts("load_ts"), "record_source")
@@ -214,15 +222,15 @@ def _customer_stage_out(staged: DataFrame) -> DataFrame:
 
 
 def q_general_stage(spark: SparkSession, sf: str) -> DataFrame:
-    return _customer_stage_out(cust.general_stage(customer_snapshot(spark, sf), diff_bits=256))
+    return _customer_stage_out(cust.general_stage(customer_snapshot(spark, sf), FIELD_SEPARATOR, diff_bits=256))
 
 
 def q_phone_stage(spark: SparkSession, sf: str) -> DataFrame:
-    return _customer_stage_out(cust.phone_stage(customer_snapshot(spark, sf), diff_bits=256))
+    return _customer_stage_out(cust.phone_stage(customer_snapshot(spark, sf), FIELD_SEPARATOR, diff_bits=256))
 
 
 def q_email_stage(spark: SparkSession, sf: str) -> DataFrame:
-    return _customer_stage_out(cust.email_stage(customer_snapshot(spark, sf), diff_bits=256))
+    return _customer_stage_out(cust.email_stage(customer_snapshot(spark, sf), FIELD_SEPARATOR, diff_bits=256))
 
 
 # --- current entity view -----------------------------------------------------------------
@@ -338,6 +346,11 @@ def q_max_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
     return max_surrogate_key(dim, DIM_TEST_SPEC)
 
 
+def q_surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "lineitem").select("l_orderkey").distinct()
+    return assign_surrogate_keys(orders, ["l_orderkey"], "order_id", start_after=100)
+
+
 # --- parameters ------------------------------------------------------------------------------
 
 PARAM_KEYS = ("AFRICA", "ASIA", "EUROPE")
@@ -345,7 +358,8 @@ PARAM_KEYS = ("AFRICA", "ASIA", "EUROPE")
 
 def q_param_lookup(spark: SparkSession, sf: str) -> DataFrame:
     region = table(spark, sf, "region")
-    return params_frame(region, PARAM_KEYS, key_col="r_name", value_col="r_regionkey")
+    found = load_params(region, PARAM_KEYS, key_col="r_name", value_col="r_regionkey")
+    return spark.range(1).select(*[F.lit(found[k]).alias(k) for k in PARAM_KEYS])
 
 
 # --- whole pipeline ------------------------------------------------------------------------------
@@ -353,13 +367,9 @@ def q_param_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def pipeline_dimension_frame(spark: SparkSession, sf: str) -> DataFrame:
     """Two daily runs of the customer loads (hub, 3 satellites, dimension)
-    replayed in memory; returns the final dimension."""
+    through the production path: appends and dimension versions in storage."""
     bronze = customer_bronze_two_days(spark, sf)
-    state = cust.empty_state(spark)
-    for process_date, load_ts in PIPELINE_RUNS:
-        snap, chosen = latest_snapshot(bronze, run_window(process_date, PIPELINE_LOOKBACK))
-        state = cust.load_day(state, snap, LoadContext(load_ts, "bronze/customers"))
-    return state.dim
+    return cust.replay_runs(spark, bronze, PIPELINE_RUNS, PIPELINE_LOOKBACK, "bronze/customers")
 
 
 def q_pipeline_dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -374,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hub_merged": q_hub_merged,
     "hash_key_256": q_hash_key_256,
     "hash_diff_256": q_hash_diff_256,
+    "hash_diff_compat": q_hash_diff_compat,
     "clean_attributes": q_clean_attributes,
     "split_phone": q_split_phone,
     "null_tokens_and": q_null_tokens_and,
@@ -390,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd1_delta": q_scd1_delta,
     "scd1_merged": q_scd1_merged,
     "unknown_member": q_unknown_member,
+    "surrogate_keys": q_surrogate_keys,
     "max_surrogate_key": q_max_surrogate_key,
     "param_lookup": q_param_lookup,
     "pipeline_dimension": q_pipeline_dimension,

@@ -11,10 +11,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session we build uses.  AQE re-plans joins (broadcast when a
-# side turns out small), coalesces small shuffle partitions and splits skewed
-# ones at runtime, which is what keeps the anti/outer joins below healthy when
-# one business key or one load holds a large share of the rows.
+# Settings every session we build uses.  AQE broadcasts a side that turns out
+# small, coalesces small shuffle partitions and splits skewed ones where both
+# sides of a join are exchanges and its kind allows it.  The right side of an
+# anti join can't be split: the operators reduce it before the shuffle instead.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

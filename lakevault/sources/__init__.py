@@ -1,4 +1,4 @@
-from lakevault.sources.params import MissingParameterError, load_params, params_frame
+from lakevault.sources.params import AmbiguousParameterError, MissingParameterError, load_params
 from lakevault.sources.snapshots import (
     RunWindow,
     latest_snapshot,
@@ -45,7 +45,7 @@ __all__ = [
     "materialize",
     "merge_insert_only",
     "merge_upsert",
-    "params_frame",
+    "AmbiguousParameterError",
     "read_bucketed",
     "read_snapshots",
     "read_state",

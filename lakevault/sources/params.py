@@ -17,47 +17,32 @@ class MissingParameterError(KeyError):
     pass
 
 
+class AmbiguousParameterError(ValueError):
+    pass
+
+
 def load_params(
     params: DataFrame,
-    keys: Sequence[str] | None = None,
-    key_col: str = "Clave",
-    value_col: str = "Valor",
+    keys: Sequence[str],
+    key_col: str,
+    value_col: str,
 ) -> dict[str, str]:
     """Collect the requested parameters into a dict with a single action.
 
     Only the requested keys leave the executors (the filter is pushed down to
-    the source), so the driver receives at most ``len(keys)`` rows.  A missing
-    key raises, as a missing parameter must stop the load.
+    the source), aggregated to one row per key, so the driver receives at most
+    ``len(keys)`` rows.  A missing key raises, as a missing parameter must stop
+    the load; so does a key with different values.
     """
     frame = params.select(F.col(key_col).alias("k"), F.col(value_col).cast("string").alias("v"))
-    if keys is not None:
-        frame = frame.filter(F.col("k").isin(list(keys)))
-        rows = frame.collect()
-    else:
-        rows = frame.collect()  # caller asked for the whole (small) table
+    frame = frame.filter(F.col("k").isin(list(keys)))
+    one = frame.groupBy("k").agg(F.min("v").alias("v"), F.max("v").alias("other"), F.count("v").alias("n"), F.count(F.lit(1)).alias("rows"))
     found: dict[str, str] = {}
-    for row in rows:
-        found.setdefault(row["k"], row["v"])
-    if keys is not None:
-        missing = [k for k in keys if k not in found]
-        if missing:
-            raise MissingParameterError(f"parameters not found: {missing}")
+    for row in one.collect():
+        if row["v"] != row["other"] or row["n"] not in (0, row["rows"]):
+            raise AmbiguousParameterError(f"parameter {row['k']!r} has several values")
+        found[row["k"]] = row["v"]
+    missing = [k for k in keys if k not in found]
+    if missing:
+        raise MissingParameterError(f"parameters not found: {missing}")
     return found
-
-
-def params_frame(
-    params: DataFrame,
-    keys: Sequence[str],
-    key_col: str = "Clave",
-    value_col: str = "Valor",
-) -> DataFrame:
-    """One-row DataFrame with one column per key (a single aggregate pass).
-
-    Equivalent to a pivot on the requested keys but without a shuffle of the
-    key column: each output column is ``max(CASE WHEN key = k THEN value END)``.
-    """
-    if not keys:
-        raise ValueError("params_frame needs at least one key")
-    return params.agg(
-        *[F.max(F.when(F.col(key_col) == F.lit(k), F.col(value_col).cast("string"))).alias(k) for k in keys]
-    )

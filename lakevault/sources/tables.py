@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,12 +139,18 @@ def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return balanced.sortWithinPartitions(*cols) if cols else balanced
 
 
+def _missing(exc: AnalysisException) -> bool:
+    """Whether Spark reports that the path isn't there; any other error, a failed
+    listing for instance, must not pass for an empty table."""
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
     """Read an append-only table, or an empty frame when it does not exist yet."""
     try:
         return spark.read.schema(spec.schema).parquet(path)
-    except Exception as exc:  # noqa: BLE001 - only "path does not exist" is expected
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:
+        if _missing(exc):
             return empty_frame(spark, spec)
         raise
 
@@ -160,8 +167,8 @@ def _max_version(spark: SparkSession, path: str, sub: str = "") -> int | None:
     target = f"{path.rstrip('/')}/{sub}" if sub else path
     try:
         frame = spark.read.parquet(target)
-    except Exception as exc:  # noqa: BLE001 - a missing folder means "no version yet"
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+    except AnalysisException as exc:
+        if _missing(exc):  # a missing folder means "no version yet"
             return None
         raise
     if VERSION_COL not in frame.columns:
@@ -191,8 +198,8 @@ def _folder_exists(spark: SparkSession, folder: str) -> bool:
     try:
         spark.read.format("binaryFile").load(folder)
         return True
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:
+        if _missing(exc):
             return False
         raise
 
@@ -212,6 +219,9 @@ def read_state(
     """
     version = current_version(spark, path)
     if version is None:
+        # the first version may be left by an interrupted write; a second one was preceded by a commit
+        if _folder_exists(spark, _version_dir(path, 1)) and _folder_exists(spark, _version_dir(path, 2)):
+            raise RuntimeError(f"{path} holds versions but no commit log")
         return empty_frame(spark, spec), None
     if bucketing is not None:
         info = _committed(spark, path, version)
@@ -262,7 +272,7 @@ def write_state(
     return version
 
 
-def materialize(df: DataFrame, label: str = "state") -> DataFrame:
+def materialize(df: DataFrame, label: str = "state", rebalance: bool = True) -> DataFrame:
     """Write ``df`` once as Parquet under the session's reliable checkpoint
     folder and return a DataFrame reading it back.
 
@@ -278,7 +288,7 @@ def materialize(df: DataFrame, label: str = "state") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
-    df.hint("rebalance").write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakevault.operators import LoadContext
 from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_snapshot
+from lakevault.sources.tables import read_state, read_table
 
 from conftest import SF_SMALL
 
@@ -32,18 +33,29 @@ def test_compatible_hashes_with_empty_separator(spark):
     assert bytes(e[cust.HD]) == hashlib.sha512(("5" + src["email"]).encode()).hexdigest().encode()
 
 
-def test_return_to_an_earlier_state_is_not_stored_again(spark):
+def test_return_to_an_earlier_state_is_not_stored_again(spark, scratch):
     base = customer_snapshot(spark, SF_SMALL).filter(F.col("customer_id").isNotNull() & (F.col("c_custkey") % 23 != 0))
     k = F.col("c_custkey")
     states = ["A", "B", "A"]  # the city of keys divisible by 3 over three days
-    state = cust.empty_state(spark)
+    paths = cust.LakePaths(*[f"{scratch}/{n}" for n in ("bronze", "hub", "general", "phone", "email", "dim")])
     for day, value in enumerate(states, start=1):
         snap = base.withColumn("city", F.when(k % 3 == 0, F.lit(value)).otherwise(F.col("city")))
-        state = cust.load_day(state, snap, LoadContext(f"2024-01-0{day} 06:00:00", "s"))
-    dim = {r[cust.DIM_BK]: r for r in state.dim.collect()}
+        cust.load_snapshot(spark, snap, paths, LoadContext(f"2024-01-0{day} 06:00:00", "s"))
+    dim = {r[cust.DIM_BK]: r for r in read_state(spark, cust.DIM_SPEC_TABLE, paths.dim)[0].collect()}
     hot = [r for key, r in dim.items() if key > 0 and key % 3 == 0]
     assert hot and all(r["CiudadUbicacion"] == "B" for r in hot)
     assert all(str(r[cust.LOAD]) == "2024-01-02 06:00:00" for r in hot)  # untouched on day 3
     hk = hashlib.sha256(str(hot[0][cust.DIM_BK]).encode()).hexdigest().encode()
-    cities = sorted(r["CiudadUbicacion"] for r in state.general.filter(F.col(cust.HK) == F.lit(hk)).collect())
+    cities = sorted(r["CiudadUbicacion"] for r in read_table(spark, cust.GENERAL_SPEC, paths.general).filter(F.col(cust.HK) == F.lit(hk)).collect())
     assert cities == ["A", "B"]  # stored once each; the return to A is not stored again
+
+
+def test_default_load_adds_nothing_to_tables_hashed_without_separator(spark, scratch):
+    snap = customer_snapshot(spark, SF_SMALL)
+    paths = cust.LakePaths(*[f"{scratch}/{n}" for n in ("bronze", "hub", "general", "phone", "email", "dim")])
+    first = cust.load_snapshot(spark, snap, paths, LoadContext("2024-01-01 06:00:00", "s"), sep="")
+    specs = ((cust.GENERAL_SPEC, paths.general), (cust.PHONE_SPEC, paths.phone), (cust.EMAIL_SPEC, paths.email))
+    before = [read_table(spark, s, p).count() for s, p in specs]
+    second = cust.load_snapshot(spark, snap, paths, LoadContext("2024-01-02 06:00:00", "s"))
+    assert [read_table(spark, s, p).count() for s, p in specs] == before
+    assert second == first  # and no dimension version

@@ -80,10 +80,10 @@ def test_duplicate_source_key_fails(spark):
         scd1_merge(dim, src, SPEC, C1, start_after=0).collect()
 
 
-@pytest.mark.parametrize("single_task_rows", [50, 999, 10_000_000])
-def test_distributed_ids_equal_global_row_number(spark, single_task_rows):
+@pytest.mark.parametrize("rows_per_range", [50, 999, 10_000_000])
+def test_distributed_ids_equal_global_row_number(spark, rows_per_range):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 100003).alias("k"), F.lit("v").alias("p"))
-    got = assign_surrogate_keys(df, ["k"], "sid", start_after=41, single_task_rows=single_task_rows)
+    got = assign_surrogate_keys(df, ["k"], "sid", start_after=41, rows_per_range=rows_per_range)
     expect = df.withColumn("sid", F.row_number().over(Window.orderBy("k")) + 41)
     a = sorted((r["k"], r["sid"]) for r in got.collect())
     b = sorted((r["k"], r["sid"]) for r in expect.collect())
@@ -94,13 +94,12 @@ def test_distributed_ids_composite_string_keys(spark):
     df = spark.range(0, 3000).select(
         (F.col("id") % 7).cast("string").alias("a"), F.concat(F.lit("k"), (F.col("id") * 13 % 3001).cast("string")).alias("b")
     )
-    got = assign_surrogate_keys(df, ["a", "b"], "sid", single_task_rows=100)
+    got = assign_surrogate_keys(df, ["a", "b"], "sid", rows_per_range=100)
     expect = df.withColumn("sid", F.row_number().over(Window.orderBy("a", "b")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expect.collect()))
     plan = got._jdf.queryExecution().executedPlan().toString()
-    # numbering runs per key range; only the <= MAX_BUCKETS offsets meet in one task
-    assert "hashpartitioning(__bucket" in plan
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    # numbering runs per stored key range; only one row per range meets in one task
+    assert "hashpartitioning(__range" in plan and "BroadcastNestedLoop" not in plan
 
 
 def test_ids_independent_of_shuffle_partitions(spark):
@@ -108,7 +107,7 @@ def test_ids_independent_of_shuffle_partitions(spark):
     results = []
     for parts in ("1", "64"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        results.append(sorted(map(tuple, assign_surrogate_keys(df, ["k"], "sid", single_task_rows=100).collect())))
+        results.append(sorted(map(tuple, assign_surrogate_keys(df, ["k"], "sid", rows_per_range=100).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1]
 
@@ -118,7 +117,7 @@ def test_distributed_ids_with_null_keys_match_global_window(spark):
     single = spark.range(0, 3000).select(
         F.when(F.col("id") == 1234, F.lit(None)).otherwise((F.col("id") * 37) % 3001).alias("k")
     )
-    got = assign_surrogate_keys(single, ["k"], "sid", single_task_rows=100)
+    got = assign_surrogate_keys(single, ["k"], "sid", rows_per_range=100)
     expect = single.withColumn("sid", F.row_number().over(Window.orderBy("k")))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expect.collect()), key=str)
 
@@ -126,6 +125,6 @@ def test_distributed_ids_with_null_keys_match_global_window(spark):
         F.when(F.col("id") % 500 == 0, F.lit(None)).otherwise((F.col("id") % 7).cast("string")).alias("a"),
         F.col("id").alias("b"),
     )
-    got = assign_surrogate_keys(composite, ["a", "b"], "sid", single_task_rows=100)
+    got = assign_surrogate_keys(composite, ["a", "b"], "sid", rows_per_range=100)
     expect = composite.withColumn("sid", F.row_number().over(Window.orderBy("a", "b")))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expect.collect()), key=str)

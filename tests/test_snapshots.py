@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakevault.sources import latest_snapshot, run_window, snapshot_date_from_parts
 from conftest import plan_text
-from lakevault.sources.params import MissingParameterError, load_params, params_frame
+from lakevault.sources.params import AmbiguousParameterError, MissingParameterError, load_params
 
 
 def write_days(spark, path, days):
@@ -57,14 +57,14 @@ def test_load_params_single_job_and_missing_key(spark):
     params = spark.createDataFrame(
         [("FechaProceso", "2024-01-20"), ("DiasCargarBorrar", "5"), ("Otro", "x")], "Clave string, Valor string"
     )
-    assert load_params(params, ["FechaProceso", "DiasCargarBorrar"]) == {
+    assert load_params(params, ["FechaProceso", "DiasCargarBorrar"], "Clave", "Valor") == {
         "FechaProceso": "2024-01-20",
         "DiasCargarBorrar": "5",
     }
     with pytest.raises(MissingParameterError):
-        load_params(params, ["FechaProceso", "Nope"])
-    row = params_frame(params, ["FechaProceso", "Otro"]).first()
-    assert (row["FechaProceso"], row["Otro"]) == ("2024-01-20", "x")
+        load_params(params, ["FechaProceso", "Nope"], "Clave", "Valor")
+    with pytest.raises(AmbiguousParameterError):
+        load_params(params.union(params.selectExpr("Clave", "concat(Valor, '1')")), ["FechaProceso"], "Clave", "Valor")
 
 
 def test_invalid_partition_date_is_ignored_not_fatal(spark, scratch):

@@ -70,3 +70,28 @@ def test_customer_run_registers_declared_silver_tables(spark, scratch):
             cust.HUB_TABLE: "hub", cust.SAT_GENERAL_TABLE: "general", cust.SAT_PHONE_TABLE: "phone",
             cust.SAT_EMAIL_TABLE: "email"}[spec.name])).count() > 0
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_a_foreign_error_is_not_an_empty_table(spark, scratch, monkeypatch):
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import DataFrameReader
+
+    from lakevault.plans import customer as cust
+    from lakevault.sources.tables import read_table
+
+    def fails(self, *a, **k):
+        raise AnalysisException("bucket does not exist for now")
+
+    monkeypatch.setattr(DataFrameReader, "parquet", fails)
+    with pytest.raises(AnalysisException):
+        read_table(spark, cust.HUB_SPEC, f"{scratch}/hub")
+
+
+def test_versions_without_a_commit_log_raise(spark, scratch):
+    from lakevault.plans import customer as cust
+    from lakevault.sources.tables import read_state
+
+    for v in (1, 2):
+        spark.range(1).write.parquet(f"{scratch}/dim/version={v}")
+    with pytest.raises(RuntimeError):
+        read_state(spark, cust.DIM_SPEC_TABLE, f"{scratch}/dim")
