@@ -243,33 +243,17 @@ def block_pairs(members: DataFrame, group: str, member: str, sizes: DataFrame) -
     return out.drop("_b", "_o", "n")
 
 
-def _close_pairs(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, one_block: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of different components with at most ERRORS differing values, by tiles."""
+def _close_rows(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, one_block: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row, the rows of other components whose signatures differ in at most ERRORS values."""
     rows = np.flatnonzero(~side)
     cols = rows if one_block else np.flatnonzero(side)
     for lo in range(0, len(rows), 32):
         r = rows[lo : lo + 32]
         near = (sig[r][:, None, :] != sig[cols][None, :, :]).sum(axis=2) <= ERRORS
         near &= comp[r][:, None] != comp[cols][None, :]
-        for x, y in zip(*np.nonzero(near), strict=True):
-            if r[x] != cols[y]:
-                yield int(r[x]), int(cols[y])
-
-
-class _Union:
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        while (y := self.up.get(x, x)) != x:
-            self.up[x] = x = self.up.get(y, y)
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        if x != y:
-            self.up[max(x, y)] = min(x, y)
-        return x != y
+        for x, hit in zip(r.tolist(), near, strict=True):
+            if hit.any():
+                yield x, cols[hit]
 
 
 def _groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -297,10 +281,14 @@ def _matrix(sigs) -> np.ndarray:
 def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     out = []
     for g in _groups(frames, ["key", "i", "j"]):
-        ids, union = g["doc_id"].to_numpy(), _Union()
-        for x, y in _close_pairs(_matrix(g["sig"]), g["component"].to_numpy(), g["side"].to_numpy(), g["i"].iloc[0] == g["j"].iloc[0]):
-            if union.join(int(ids[x]), int(ids[y])):
-                out.append((ids[x], ids[y]))
+        ids, tree = g["doc_id"].to_numpy(), np.arange(len(g))
+        one_block = g["i"].iloc[0] == g["j"].iloc[0]
+        for x, near in _close_rows(_matrix(g["sig"]), g["component"].to_numpy(), g["side"].to_numpy(), one_block):
+            near = near[tree[near] != tree[x]]
+            if len(near):  # one edge to each tree not joined yet
+                trees, first = np.unique(tree[near], return_index=True)
+                out += [(ids[x], ids[y]) for y in near[first]]
+                tree[np.isin(tree, np.append(trees, tree[x]))] = tree[x]
         if len(out) > 10_000:
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
             out = []
@@ -313,18 +301,22 @@ def _compare_clusters(shingle: int, percent: int):
         for g in _groups(frames, ["cluster", "i", "j"]):
             ids, comp, texts = g["doc_id"].to_numpy(), g["component"].to_numpy(), g["text"].to_numpy()
             sets: dict[int, set] = {}
-            union = _Union()
-            for x, y in _close_pairs(_matrix(g["sig"]), comp, g["side"].to_numpy(), g["i"].iloc[0] == g["j"].iloc[0]):
-                if union.find(int(comp[x])) == union.find(int(comp[y])):
-                    continue  # linked already, by way of others
-                for z in (x, y):
-                    if z not in sets:
-                        sets[z] = exact_set(texts[z], shingle)
-                s, o = sets[x], sets[y]
-                both = len(s & o)
-                if both and 100 * both >= percent * (len(s) + len(o) - both):
-                    union.join(int(comp[x]), int(comp[y]))
-                    out.append((ids[x], ids[y]))
+            linked = comp.copy()
+            one_block = g["i"].iloc[0] == g["j"].iloc[0]
+            for x, near in _close_rows(_matrix(g["sig"]), comp, g["side"].to_numpy(), one_block):
+                for y in near[linked[near] != linked[x]].tolist():
+                    if linked[x] == linked[y]:
+                        continue  # by now, by way of others
+                    for z in (x, y):
+                        if z not in sets:
+                            sets[z] = exact_set(texts[z], shingle)
+                    s, o = sets[x], sets[y]
+                    if 100 * min(len(s), len(o)) < percent * max(len(s), len(o)):
+                        continue
+                    both = len(s & o)
+                    if both and 100 * both >= percent * (len(s) + len(o) - both):
+                        out.append((ids[x], ids[y]))
+                        linked[linked == linked[y]] = linked[x]
         yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return run
