@@ -47,6 +47,7 @@ from lakevault.sources.tables import (
     read_bucketed,
     read_state,
     read_table,
+    register_current,
     write_state,
 )
 
@@ -470,9 +471,11 @@ def load_snapshot(
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
     classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if version is not None and not count_differences(classified):
-            return {"dim_version": version}  # nothing to write
-        state = dimension_state(dim, view, ctx, classified=classified)
-        return {"dim_version": write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)}
+        if version is None or count_differences(classified):  # else there is nothing to write
+            state = dimension_state(dim, view, ctx, classified=classified)
+            version = write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)
+        if register_tables:
+            register_current(spark, DIM_SPEC_TABLE, paths.dim, version, f"{table_prefix}{DIM_TABLE}")
+        return {"dim_version": version}
     finally:
         classified.unpersist()

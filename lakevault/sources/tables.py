@@ -14,6 +14,7 @@ re-expressed with Spark's file writers:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -89,10 +90,7 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def table_ddl(spec: TableSpec, path: str, table_name: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for ``spec``: typed columns, NOT
-    NULL flags, column and table comments and the ``CLUSTER BY`` columns
-    (recorded as the table's clustering columns), over an external folder."""
+def _columns_ddl(spec: TableSpec) -> str:
     cols = []
     for c in spec.columns:
         col = f"`{c.name}` {c.dtype.simpleString()}"
@@ -101,9 +99,29 @@ def table_ddl(spec: TableSpec, path: str, table_name: str | None = None) -> str:
         if c.comment:
             col += f" COMMENT {_sql_text(c.comment)}"
         cols.append(col)
-    ddl = f"CREATE TABLE IF NOT EXISTS {table_name or spec.name} ({', '.join(cols)}) USING parquet"
-    if spec.comment:
-        ddl += f" COMMENT {_sql_text(spec.comment)}"
+    return ", ".join(cols)
+
+
+def _table_ddl_tail(spec: TableSpec) -> str:
+    out = f" COMMENT {_sql_text(spec.comment)}" if spec.comment else ""
+    if spec.properties:
+        out += " TBLPROPERTIES (" + ", ".join(f"{_sql_text(k)} = {_sql_text(v)}" for k, v in sorted(spec.properties.items())) + ")"
+    return out
+
+
+def _require_location(spark: SparkSession, table: str, path: str) -> None:
+    """Raise if a table of that name is stored elsewhere: it is another lake's."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    plain = lambda x: re.sub(r"^file:/*", "/", x).rstrip("/")
+    if found is not None and plain(found["data_type"]) != plain(path):
+        raise ValueError(f"table {table} is stored at {found['data_type']}, not at {path}; use another table prefix")
+
+
+def table_ddl(spec: TableSpec, path: str, table_name: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for ``spec``: typed columns, NOT
+    NULL flags, column and table comments and the ``CLUSTER BY`` columns
+    (recorded as the table's clustering columns), over an external folder."""
+    ddl = f"CREATE TABLE IF NOT EXISTS {table_name or spec.name} ({_columns_ddl(spec)}) USING parquet{_table_ddl_tail(spec)}"
     if spec.cluster_by:
         ddl += " CLUSTER BY (" + ", ".join(f"`{c}`" for c in spec.cluster_by) + ")"
     return ddl + f" LOCATION {_sql_text(path)}"
@@ -118,6 +136,17 @@ def ensure_table(spark: SparkSession, spec: TableSpec, path: str, table_name: st
     layout itself is produced by the writers (sorted, well-sized files).
     """
     spark.sql(table_ddl(spec, path, table_name))
+    _require_location(spark, table_name or spec.name, path)
+
+
+def register_current(spark: SparkSession, spec: TableSpec, path: str, version: int, table_name: str | None = None) -> None:
+    """Point the catalog name at a committed version of a versioned table.
+
+    The table is external, so dropping the old entry removes no files.
+    """
+    name = table_name or spec.name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_table(spark, spec, _version_dir(path, version), name)
 
 
 def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -313,13 +342,13 @@ class Bucketing:
 def ensure_bucketed_table(spark: SparkSession, spec: TableSpec, path: str, bucketing: Bucketing) -> None:
     """``CREATE TABLE IF NOT EXISTS .. CLUSTERED BY .. INTO n BUCKETS`` over
     ``path`` (re-registering an existing folder is safe)."""
-    cols = ", ".join(f"`{c.name}` {c.dtype.simpleString()}" for c in spec.columns)
     keys = ", ".join(f"`{c}`" for c in bucketing.columns)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {bucketing.table} ({cols}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS {bucketing.table} ({_columns_ddl(spec)}) USING parquet{_table_ddl_tail(spec)} "
         f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucketing.num_buckets} BUCKETS "
-        f"LOCATION '{path}'"
+        f"LOCATION {_sql_text(path)}"
     )
+    _require_location(spark, bucketing.table, path)
 
 
 def read_bucketed(spark: SparkSession, bucketing: Bucketing) -> DataFrame:

@@ -1,5 +1,7 @@
 """Bucketed satellite storage: the history side of the anti join is not shuffled."""
 
+import pytest
+
 from lakevault.operators import LoadContext
 from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_snapshot
@@ -76,3 +78,14 @@ def test_bucketed_customer_runs_equal_plain_runs(spark, scratch):
         spark.sql(f"DROP TABLE bkt_{spec.name}")
     for v in (1, 2):
         spark.sql(f"DROP TABLE IF EXISTS bkt_{cust.DIM_TABLE}_v{v}")
+
+
+def test_two_lakes_with_the_same_table_names_raise(spark, scratch):
+    from lakevault.plans import customer as cust
+    from lakevault.sources.tables import Bucketing, ensure_bucketed_table
+
+    b = Bucketing("two_lakes_hub", (cust.BK,), 4)
+    ensure_bucketed_table(spark, cust.HUB_SPEC, f"{scratch}/a/hub", b)
+    ensure_bucketed_table(spark, cust.HUB_SPEC, f"{scratch}/a/hub", b)
+    with pytest.raises(ValueError, match="another table prefix"):
+        ensure_bucketed_table(spark, cust.HUB_SPEC, f"{scratch}/b/hub", b)

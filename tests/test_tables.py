@@ -70,6 +70,12 @@ def test_customer_run_registers_declared_silver_tables(spark, scratch):
             cust.HUB_TABLE: "hub", cust.SAT_GENERAL_TABLE: "general", cust.SAT_PHONE_TABLE: "phone",
             cust.SAT_EMAIL_TABLE: "email"}[spec.name])).count() > 0
         spark.sql(f"DROP TABLE {table}")
+    from lakevault.sources.tables import read_state
+
+    state, _ = read_state(spark, cust.DIM_SPEC_TABLE, paths.dim)
+    named = spark.table(f"reg_{cust.DIM_TABLE}")
+    assert sorted(map(str, named.select(*state.columns).collect())) == sorted(map(str, state.collect()))
+    spark.sql(f"DROP TABLE reg_{cust.DIM_TABLE}")
 
 
 def test_a_foreign_error_is_not_an_empty_table(spark, scratch, monkeypatch):
