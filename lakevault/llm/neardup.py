@@ -48,7 +48,7 @@ from lakevault.llm.hashing import M1, Prefix, mix, slices_by_size, text_buffers
 CHUNKS, CHUNK = 16, 5
 VALUES = CHUNKS * CHUNK
 ERRORS = 40  # of 80 values; a pair at 80 % differs in 16 on average, deviation 3.6
-BLOCK = 512  # members of a group that are compared in one place
+BLOCK = 1024  # members of a group that are compared in one place
 CELL = 256  # members compared with one copy of a text
 
 SIGNATURES = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, sig binary"
@@ -256,6 +256,26 @@ def _close_rows(sig: np.ndarray, comp: np.ndarray, side: np.ndarray, one_block:
                 yield x, cols[hit]
 
 
+class _Union:
+    """Disjoint sets, each named by its smallest member."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        root = x
+        while (y := self.up.get(root, root)) != root:
+            root = y
+        while (y := self.up.get(x, x)) != root:
+            self.up[x], x = root, y
+        return root
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+
 def _groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Whole groups of rows that arrive sorted by ``keys``."""
     held: list[pd.DataFrame] = []
@@ -279,16 +299,20 @@ def _matrix(sigs) -> np.ndarray:
 
 
 def _forest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    out = []
+    """Edges that join what no earlier bucket of this task has joined."""
+    out, union = [], _Union()
     for g in _groups(frames, ["key", "i", "j"]):
-        ids, tree = g["doc_id"].to_numpy(), np.arange(len(g))
+        ids = g["doc_id"].to_numpy()
+        tree = np.array([union.find(i) for i in ids.tolist()])
         one_block = g["i"].iloc[0] == g["j"].iloc[0]
         for x, near in _close_rows(_matrix(g["sig"]), g["component"].to_numpy(), g["side"].to_numpy(), one_block):
             near = near[tree[near] != tree[x]]
             if len(near):  # one edge to each tree not joined yet
                 trees, first = np.unique(tree[near], return_index=True)
-                out += [(ids[x], ids[y]) for y in near[first]]
-                tree[np.isin(tree, np.append(trees, tree[x]))] = tree[x]
+                for y in near[first].tolist():
+                    union.join(int(ids[x]), int(ids[y]))
+                    out.append((ids[x], ids[y]))
+                tree[np.isin(tree, np.append(trees, tree[x]))] = union.find(int(ids[x]))
         if len(out) > 10_000:
             yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
             out = []
