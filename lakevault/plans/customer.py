@@ -41,7 +41,6 @@ from lakevault.sources.tables import (
     TableSpec,
     append_bucketed,
     append_rows,
-    empty_frame,
     ensure_bucketed_table,
     ensure_table,
     read_bucketed,
