@@ -69,13 +69,14 @@ def session_conf(spark: SparkSession, **settings: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def staged_matches(big: DataFrame, ids: DataFrame, on: str, name: str) -> DataFrame:
+def staged_matches(big: DataFrame, ids: DataFrame, on: str | list[str], name: str) -> DataFrame:
     """The rows of ``big`` whose ``on`` is in ``ids`` (a staged table, distinct), joined
-    with it and staged.  Spark sends a Bloom filter of the ids, at most 8 MB,
+    with it and staged.  Spark sends a Bloom filter of each key, at most 8 MB,
     to the scan, so only matching rows (and false positives) are shuffled.
     """
     spark = big.sparkSession
-    ids = ids.filter(F.col(on) >= F.lit(-(1 << 63)))  # Spark builds a filter only over a filtered scan
+    on = [on] if isinstance(on, str) else on
+    ids = ids.filter(F.col(on[0]) >= F.lit(-(1 << 63)))  # Spark builds a filter only over a filtered scan
     with session_conf(
         spark,
         spark__sql__optimizer__runtime__bloomFilter__enabled="true",

@@ -127,9 +127,13 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _cut_copies(length: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()  # rows that repeat an id and text have the same pieces
         for f in frames:
             rows = []
-            for text, pieces in zip(f["text"], f["pieces"], strict=True):
+            for d, t, text, pieces in zip(f["d"], f["t"], f["text"], f["pieces"], strict=True):
+                if (d, t) in seen:
+                    continue
+                seen.add((d, t))
                 b = text.encode()
                 rows += [(p["name"], p["content"], b[p["start"] : p["start"] + p["windows"] + length - 1]) for p in pieces]
             yield pd.DataFrame(rows, columns=["name", "content", "piece"])
@@ -238,8 +242,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     wanted = contents.join(kinds, "name").select("name", "content", "kinds", "at.*")
     wanted = wanted.groupBy("d", "t").agg(F.collect_list(F.struct("name", "content", "kinds", "start", "windows")).alias("pieces"))
     wanted = staged(wanted, "wanted-pieces")
-    texts = staged_matches(docs.select("d", F.col("t").alias("t2"), "text"), wanted, "d", "piece-texts").filter("t = t2")
-    copies = texts.select("text", F.col("pieces")).mapInPandas(_cut_copies(length), COPIES)
+    texts = staged_matches(docs.select("d", "t", "text"), wanted, ["d", "t"], "piece-texts")
+    copies = texts.select("d", "t", "text", "pieces").mapInPandas(_cut_copies(length), COPIES)
     copies = staged(copies.join(kinds, "name"), "copies")
 
     cold = copies.filter(F.col("kinds") <= hot).repartition("name").sortWithinPartitions("name")
@@ -250,7 +254,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     ranges = staged(ranges, "content-ranges")
     spans = found.join(ranges, ["name", "content"]).select("d", "t", F.explode("ranges").alias("r"), "start")
     spans = spans.groupBy("d", "t").agg(
-        F.collect_list(F.struct((F.col("start") + F.col("r.lo")).alias("lo"), (F.col("start") + F.col("r.hi")).alias("hi"))).alias("spans")
+        # a set, as rows that repeat an id and text have the same spans
+        F.collect_set(F.struct((F.col("start") + F.col("r.lo")).alias("lo"), (F.col("start") + F.col("r.hi")).alias("hi"))).alias("spans")
     )
     return staged(spans, "spans")
 
@@ -284,7 +289,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     """(d, t, n_removed, n_spans, kept_sha256, kept) of the documents that lose bytes, one row per (d, t)."""
     k = keyed(docs, id_col, text_col)
     spans = repeated_spans(k, length, **limits)
-    texts = staged_matches(k.select("d", F.col("t").alias("t2"), "text"), spans, "d", "cut-texts").filter("t = t2")
+    texts = staged_matches(k.select("d", "t", "text"), spans, ["d", "t"], "cut-texts")
     out = texts.select("d", "t", "text", "spans").mapInPandas(
         _cut, "d bigint, t bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )

@@ -66,6 +66,31 @@ def test_repeated_passages_of_nothing(spark):
     assert suffixdedup.remove_repeats(empty(spark)).count() == 0
 
 
+def test_rows_that_share_an_id_meet_their_own_text_only(spark, monkeypatch):
+    """40 rows without an id and 40 with one id, all with other texts; and 20 equal rows."""
+    rng = random.Random(7)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3)]
+    words = lambda: "".join(rng.choice("abcdefgh ") for _ in range(250))
+    rows = [(i, words() + rng.choice(shared) + words()) for i in [None] * 40 + [7] * 40] + [(8, shared[0] + words())] * 20
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    written = {}
+
+    def counted(big, ids, on, name):
+        out = matches(big, ids, on, name)
+        written[name] = out.count()
+        return out
+
+    matches = suffixdedup.staged_matches
+    monkeypatch.setattr(suffixdedup, "staged_matches", counted)
+    found = {(r.d, r.t): r for r in suffixdedup.remove_repeats(docs).collect()}
+    assert written["cut-texts"] == len(rows) and written["piece-texts"] <= len(rows)
+    keyed = suffixdedup.keyed(docs, "doc_id", "text").collect()
+    got = sorted((str(k.doc_id), *((f.n_removed, f.n_spans, f.kept_sha256) if (f := found.get((k.d, k.t))) else
+                                   (0, 0, hashlib.sha256(k.text.encode()).hexdigest()))) for k in keyed)
+    want = brute_cut([r[1].encode() for r in rows], 200)
+    assert got == sorted((str(r[0]), *w) for r, w in zip(rows, want))
+
+
 def brute_components(rows, shingle):
     sets = [(r[0], neardup.exact_set(r[1], shingle)) for r in rows if r[0] is not None]
     up = {i: i for i, _ in sets}
