@@ -25,10 +25,11 @@ more; the classes are the connected components.
 4. Links are confirmed on the full sets of words.
 
 Edge cases: NULL or blank texts have an empty set and are linked with
-nothing; NULL ids aren't linked (component NULL, kept); rows that repeat an
-id are one document that is linked by each of its texts; an empty table gives
-no rows; extra columns are ignored by ``near_duplicates`` and kept by
-``drop_near_duplicates``.
+nothing; NULL ids aren't linked by ``near_duplicates`` (component NULL, kept),
+to ``drop_near_duplicates`` each such row is a document of its own; rows that
+repeat an id are one document that is linked by each of its texts, and stay or
+go together; an empty table gives no rows; extra columns are ignored by
+``near_duplicates`` and kept by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -367,11 +368,35 @@ def _across(held: DataFrame, comp: DataFrame, classes: DataFrame, texts: DataFra
     return staged(rows.select(*cols).mapInPandas(_compare_clusters(shingle, percent), "a bigint, b bigint").distinct(), "links-across")
 
 
+def keys_without_id(least: int | None, greatest: int | None, rows: int) -> int:
+    """The first of ``rows`` consecutive bigints that are no id: after the greatest id or, without room there, before the least."""
+    if greatest is None:
+        return 0
+    if greatest + rows < 1 << 63:
+        return greatest + 1
+    if least - rows >= -(1 << 63):
+        return least - rows
+    raise ValueError("no keys are left for the rows without an id")
+
+
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class (its smallest id), with all columns; rows without an id stay."""
-    found = near_duplicates(docs, shingle, percent, id_col, text_col)
+    """One document of each class, with all columns: the one of the smallest id, or any row if none has an id."""
+    key = F.col(id_col).cast("bigint")
+    ids = docs.agg(F.min(key).alias("least"), F.max(key).alias("greatest"), F.count_if(key.isNull()).alias("without")).first()
+    named = docs
+    if ids["without"]:
+        named = docs.filter(key.isNotNull())
+        # a row without an id is a document of its own; numbered in a table, so that a task run again finds the same keys
+        lone = staged(docs.filter(key.isNull()).select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "without-id")
+        first = keys_without_id(ids["least"], ids["greatest"], lone.agg(F.max("n")).first()[0] + 1)
+        lone = lone.select((F.col("n") + F.lit(first)).alias("key"), "row")
+        texts = named.select(key.alias("doc_id"), F.col(text_col).alias("text")).union(lone.select("key", f"row.{text_col}"))
+        found = near_duplicates(texts, shingle, percent)
+    else:
+        found = near_duplicates(docs, shingle, percent, id_col, text_col)
     gone = staged(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
-    return docs.join(gone, F.col(id_col) == gone["_gone"], "left_anti")
+    out = named.join(gone, F.col(id_col) == gone["_gone"], "left_anti")
+    return out.union(lone.join(gone, F.col("key") == gone["_gone"], "left_anti").select("row.*")) if ids["without"] else out
 
 
 def op3_minhash_components(spark, sf_dir: str) -> DataFrame:

@@ -120,6 +120,25 @@ def test_near_duplicates(spark):
     assert neardup.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def test_copies_among_rows_without_an_id_go(spark):
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words[:59] + ["other"])
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, " ".join(words), 1), (5, " ".join(words), 2), (None, near, 3), (None, other, 4), (None, other, 5), (None, "lone row", 6),
+            (None, None, 7), (None, "", 8), (9, "lone id", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, key int").repartition(3)
+    got = neardup.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    kept = {r.key for r in got.collect()}
+    assert len(kept & {4, 5}) == 1 and kept - {4, 5} == {2, 6, 7, 8, 9}
+
+
+def test_keys_without_id_are_no_ids():
+    top = (1 << 63) - 1
+    assert neardup.keys_without_id(None, None, 3) == 0 and neardup.keys_without_id(1, 7, 3) == 8
+    assert neardup.keys_without_id(-4, top - 2, 3) == -7 and neardup.keys_without_id(-4, top - 3, 3) == top - 2
+
+
 def test_large_group_of_near_copies_by_blocks(spark, monkeypatch):
     """Chains of links that the bucket's smallest member doesn't see, in blocks of 8."""
     monkeypatch.setattr(neardup, "BLOCK", 8)
