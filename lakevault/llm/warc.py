@@ -75,6 +75,8 @@ def prepare_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
         .groupBy("payload_digest", "payload_bytes")
         .agg(F.max("page_id").alias("_newest"))
     )
+    # a table of its own: both sides of the join are then dealt out anew, and AQE can split a hot payload
+    newest = staged(newest, "newest")
     j = p.join(newest, ["payload_digest", "payload_bytes"], "left")
     revisit = F.col("_newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_newest"))
     return j.withColumns(

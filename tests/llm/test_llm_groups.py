@@ -259,6 +259,16 @@ def test_archives(spark, scratch):
     assert warc.archive_pages(none, f"{scratch}/none").count() == 0
 
 
+def test_join_of_pages_with_newest_can_be_split(spark):
+    """No aggregate lies between the join and its exchanges."""
+    from conftest import plan_text
+
+    pages = spark.createDataFrame([(1, "http://x.example", "same"), (2, "http://x.example", "same")], "page_id bigint, url string, html string")
+    records = warc.prepare_records(pages)
+    assert "Aggregate" not in plan_text(records)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in records.collect()) == [(1, "revisit", 2), (2, "response", None)]
+
+
 def test_loser_tree_merges_any_number_of_runs():
     rng = random.Random(1)
     for k in range(0, 9):
