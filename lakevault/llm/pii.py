@@ -80,7 +80,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) by kind, then start."""
     out = [(0, a, b) for a, b in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             out.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16 and 16 <= len(d := only_digits(m[0])) <= 19 and luhn(d):

@@ -97,6 +97,13 @@ def test_base_spans_equal_plain_patterns():
         assert pii.base_spans(s) == brute_pii(s), s
 
 
+def test_ip_parts_of_thousands_of_zeros():
+    zeros = "0" * 5000
+    assert (1, 0, 5006) in pii.base_spans(zeros + ".1.1.1")
+    assert (1, 0, 5009) in pii.base_spans(zeros + "255.1.1.1")
+    assert not any(k == 1 for k, _, _ in pii.base_spans(zeros + "256.1.1.1"))
+
+
 def test_field_best_segmentation_is_the_best_of_all():
     rng = np.random.default_rng(2)
     field = pii.Field(rng.normal(size=(4, pii.N_FEATURES)))
