@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakevault.llm import mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
+from lakevault.llm import filteraudit, mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
 
 LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,7 @@ LLM_QUERIES = {
     "op8_personal_data": pii.op8_personal_data,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_warc": warc.op10_warc,
+    "op11_filter_audit": filteraudit.op11_filter_audit,
 }
 
 LLM_SQL = {
@@ -25,4 +26,5 @@ LLM_SQL = {
     "op6_quality_rules": quality.OP6_SQL,
     "op7_secret_scan": secrets.OP7_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op11_filter_audit": filteraudit.OP11_SQL,
 }

@@ -26,7 +26,7 @@ def norm(v):
 @pytest.mark.parametrize("name", sorted(LLM_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = LLM_QUERIES[name](spark, SF_SMALL)
     res = con.execute(LLM_SQL[name])
@@ -38,7 +38,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES if n.startswith("op")) == list(range(1, 12))
     assert "pipeline" in LLM_QUERIES
 
 
