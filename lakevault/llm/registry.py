@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from lakevault.llm import convtrie, filteraudit, mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
+from lakevault.llm import chunkbpe, convtrie, filteraudit, mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
 
 LLM_QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ LLM_QUERIES = {
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_warc": warc.op10_warc,
     "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op12_chunk_bpe": chunkbpe.op12_chunk_bpe,
     "op13_conversation_trie": convtrie.op13_conversation_trie,
 }
 
