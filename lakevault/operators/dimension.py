@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lakevault.functions.columns import changed_any
 from lakevault.operators.context import LoadContext
 from lakevault.operators.surrogate import assign_surrogate_keys
-from lakevault.sources.tables import materialize
+from lakevault.sources.tables import scratch_table, write_observed
 
 STATUS = "__status"
 KEPT, SAME, CHANGED, NEW = "kept", "same", "changed", "new"
@@ -184,37 +184,45 @@ def scd1_changed(dim: DataFrame, current: DataFrame, spec: DimensionSpec, ctx: L
     return _changed_rows(scd1_classify(dim, current, spec), spec, ctx)
 
 
-def _id_stats(classified: DataFrame, spec: DimensionSpec) -> tuple[int, int]:
-    """Current max real id and number of new keys, in one aggregate job."""
-    row = classified.agg(
-        F.max(F.when((F.col(STATUS) != NEW) & (F.col(spec.id_col) >= 1), F.col(spec.id_col))).alias("m"),
-        F.count(F.when(F.col(STATUS) == NEW, F.lit(1))).alias("n"),
-    ).first()
-    return int(row["m"] or 0), int(row["n"])
-
-
-def _numbering(
-    classified: DataFrame, spec: DimensionSpec, start_after: int | None
-) -> tuple[int, int]:
-    max_id, n_new = _id_stats(classified, spec)
-    return (max_id if start_after is None else start_after), n_new
-
+@dataclass(frozen=True)
+class Classified:
+    """A stored classification and what its one write saw: the greatest real
+    id, and how many keys are new and changed (see ``write_observed``)."""
 
-def _differences_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """The changed and new rows of the classification, written once."""
-    return materialize(scd1_classify(dim, current, spec).filter(F.col(STATUS).isin(CHANGED, NEW)), "scd1")
+    rows: DataFrame
+    max_id: int
+    n_new: int
+    n_changed: int
 
+    @property
+    def differs(self) -> bool:
+        return self.n_new + self.n_changed > 0
 
-def count_differences(classified: DataFrame) -> int:
-    """Number of changed and new rows."""
-    return classified.filter(F.col(STATUS).isin(CHANGED, NEW)).count()
 
+def classify_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec, differences_only: bool = False) -> Classified:
+    """The classification, run and written once.
 
-def _classified_once(dim: DataFrame, current: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """The classification written once (``materialize``: one job, stored in
-    the session's checkpoint folder): the id statistics and the changed/new
-    branches then read stored rows instead of re-running the join."""
-    return materialize(scd1_classify(dim, current, spec), "scd1")
+    The write's job also yields the greatest id and the counts, over all rows,
+    even if only the changed and new ones are stored.  The branches that
+    follow read stored rows instead of running the join again.
+    """
+    rows = scd1_classify(dim, current, spec)
+    status = F.col(STATUS)
+    path = scratch_table(dim.sparkSession, "scd1")
+
+    def write(observed: DataFrame) -> None:
+        kept = observed.filter(status.isin(CHANGED, NEW)) if differences_only else observed
+        kept.hint("rebalance").write.parquet(path)
+
+    seen = write_observed(
+        write,
+        rows,
+        max_id=F.max(F.when((status != NEW) & (F.col(spec.id_col) >= 1), F.col(spec.id_col).cast("long"))),
+        n_new=F.count(F.when(status == NEW, F.lit(1))),
+        n_changed=F.count(F.when(status == CHANGED, F.lit(1))),
+    )
+    stored = dim.sparkSession.read.schema(rows.schema).parquet(path)
+    return Classified(stored, int(seen["max_id"] or 0), int(seen["n_new"]), int(seen["n_changed"]))
 
 
 def scd1_new(
@@ -225,11 +233,14 @@ def scd1_new(
     start_after: int | None = None,
 ) -> DataFrame:
     """Source keys not in the dimension, with ids ``max_id + 1 ..`` by key."""
-    classified = _differences_once(dim, current, spec)
-    if start_after is None:
-        start_after = max_surrogate_value(dim, spec)
-    n_new = classified.filter(F.col(STATUS) == NEW).count()
-    return _new_rows(classified, spec, ctx, start_after, n_new)
+    found = classify_once(dim, current, spec, differences_only=True)
+    return _new_rows(found.rows, spec, ctx, found.max_id if start_after is None else start_after, found.n_new)
+
+
+def delta_of(found: Classified, spec: DimensionSpec, ctx: LoadContext, start_after: int | None = None) -> DataFrame:
+    """Changed and new rows of a stored classification, with their ids."""
+    start = found.max_id if start_after is None else start_after
+    return _changed_rows(found.rows, spec, ctx).unionByName(_new_rows(found.rows, spec, ctx, start, found.n_new))
 
 
 def scd1_delta(
@@ -240,13 +251,8 @@ def scd1_delta(
     start_after: int | None = None,
 ) -> DataFrame:
     """Changed rows followed by new rows (what a MERGE would upsert)."""
-    classified = _differences_once(dim, current, spec)
-    if start_after is None:
-        start_after = max_surrogate_value(dim, spec)
-    n_new = classified.filter(F.col(STATUS) == NEW).count()
-    return _changed_rows(classified, spec, ctx).unionByName(
-        _new_rows(classified, spec, ctx, start_after, n_new)
-    )
+    found = classify_once(dim, current, spec, differences_only=True)
+    return delta_of(found, spec, ctx, start_after)
 
 
 def scd1_merge(
@@ -255,25 +261,22 @@ def scd1_merge(
     spec: DimensionSpec,
     ctx: LoadContext,
     start_after: int | None = None,
-    classified: DataFrame | None = None,
+    classified: Classified | None = None,
 ) -> DataFrame:
     """The dimension's new full state after an upsert of ``current``.
 
     Untouched and source-less rows keep their values and load time; changed
     rows are overwritten in place (same id); new keys get dense ids after the
-    current maximum.  One small aggregate job over the classification yields
-    both the current maximum id and the number of new keys.  The join is
-    evaluated once: pass a persisted ``classified`` (from ``scd1_classify``),
-    or the classification is written once to the checkpoint folder.
+    current maximum.  The join is evaluated once (``classify_once``); pass its
+    result as ``classified`` if it is at hand.
     """
-    if classified is None:
-        classified = _classified_once(dim, current, spec)
-    start_after, n_new = _numbering(classified, spec, start_after)
+    found = classified or classify_once(dim, current, spec)
+    start = found.max_id if start_after is None else start_after
     is_changed = F.col(STATUS) == CHANGED
-    existing = classified.filter(F.col(STATUS) != NEW).select(
+    existing = found.rows.filter(F.col(STATUS) != NEW).select(
         F.col(spec.id_col).cast("long").alias(spec.id_col),
         *spec.bk_cols,
         *[F.when(is_changed, F.col(_new(a))).otherwise(F.col(_old(a))).alias(a) for a in spec.attrs],
         F.when(is_changed, ctx.load_ts_col()).otherwise(F.col(_old(spec.load_col))).alias(spec.load_col),
     )
-    return existing.unionByName(_new_rows(classified, spec, ctx, start_after, n_new))
+    return existing.unionByName(_new_rows(found.rows, spec, ctx, start, found.n_new))

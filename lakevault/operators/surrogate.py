@@ -1,13 +1,14 @@
-"""Dense surrogate keys in business-key order, without a one-partition window.
+"""Dense surrogate keys in business-key order, without a one-partition window over many rows.
 
 ``row_number() OVER (ORDER BY key) + max_id`` is the textbook expression, but
-an un-partitioned window moves every row into one task.  Here the rows are
-dealt into key ranges and stored with their range number; then
+an un-partitioned window moves every row into one task.  Up to
+``ROWS_PER_RANGE`` rows that is what runs.  More rows are dealt into key ranges,
+sorted and numbered there, and stored with their place, all in one shuffle; then
 
 1. a grouped count per range gives every range its starting offset, and
-2. ``row_number()`` runs per range, in parallel, on its own keys.
+2. a row's id is its place in its range plus that offset: no second shuffle.
 
-The range number is stored with the row (in the shared checkpoint folder), so
+Range and place are stored with the row (in the shared checkpoint folder), so
 a task that is run again after an executor loss reads the same numbers.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lakevault.sources.tables import materialize
 
-_RANGE = "__range"
+_RANGE, _PLACE = "__range", "__place"
 
 # Rows that one task numbers, about; the number of ranges has no ceiling.
 ROWS_PER_RANGE = 200_000
@@ -39,25 +40,27 @@ def assign_surrogate_keys(
 
     Equal to ``row_number() OVER (ORDER BY order_cols) + start_after`` for
     unique keys (NULL keys come first).  There are ``rows / rows_per_range``
-    ranges, and as many as there are shuffle partitions at least.  Pass
-    ``total`` when the row count is already known to skip the counting job.
+    ranges, one at least.  Pass ``total`` when the row count is already known
+    to skip the counting job; it only sets the number of ranges.
     """
     if not order_cols:
         raise ValueError("assign_surrogate_keys needs at least one order column")
     if total is None:
         total = df.count()
-    spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(least, math.ceil(total / rows_per_range))
-    dealt = df.repartitionByRange(ranges, *[F.col(c).asc() for c in order_cols]).withColumn(_RANGE, F.spark_partition_id())
-    stored = materialize(dealt, "ranges", rebalance=False)
+    order = [F.col(c).asc() for c in order_cols]
+    ranges = max(1, math.ceil(total / rows_per_range))
+    if ranges == 1:
+        place = F.row_number().over(Window.orderBy(*order)).cast("long")
+        return df.withColumn(id_col, place + F.lit(start_after))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the number of the partition and, in the lower 33 bits, the place of the row in it
+    stored = materialize(dealt.withColumn(_PLACE, F.monotonically_increasing_id()), "ranges", rebalance=False)
+    stored = stored.withColumn(_RANGE, F.shiftright(_PLACE, 33))
 
     # rows in all lower ranges: a running sum over one row per range
     counts = stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    own = Window.partitionBy(_RANGE).orderBy(*[F.col(c).asc() for c in order_cols])
-    numbered = stored.withColumn("__local", F.row_number().over(own).cast("long")).join(offsets, on=_RANGE)
-    return numbered.withColumn(id_col, F.col("__local") + F.col("__offset") + F.lit(start_after)).drop(
-        _RANGE, "__local", "__offset"
-    )
+    local = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    numbered = stored.join(offsets, on=_RANGE)
+    return numbered.withColumn(id_col, local + F.col("__offset") + F.lit(start_after)).drop(_RANGE, _PLACE, "__offset")

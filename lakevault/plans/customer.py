@@ -24,10 +24,10 @@ from lakevault.functions.columns import (
 )
 from lakevault.operators.context import LoadContext
 from lakevault.operators.dimension import (
-    count_differences,
+    Classified,
     DimensionSpec,
+    classify_once,
     ensure_unknown_member,
-    scd1_classify,
     scd1_merge,
 )
 from lakevault.operators.entity import SatelliteView, current_entity_view
@@ -275,7 +275,7 @@ def current_view(hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how
     )
 
 
-def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classified: DataFrame | None = None) -> DataFrame:
+def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classified: Classified | None = None) -> DataFrame:
     """New full dimension state: unknown member ensured, Type-1 upsert."""
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
     # max id and new-key count come from the classification in one job
@@ -468,13 +468,10 @@ def load_snapshot(
     dim_bucketing = Bucketing(f"{table_prefix}{DIM_TABLE}", (DIM_BK,), buckets) if buckets else None
     dim, version = read_state(spark, DIM_SPEC_TABLE, paths.dim, dim_bucketing)
     with_unknown = ensure_unknown_member(dim, DIM_SPEC, ctx)
-    classified = scd1_classify(with_unknown, view, DIM_SPEC).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if version is None or count_differences(classified):  # else there is nothing to write
-            state = dimension_state(dim, view, ctx, classified=classified)
-            version = write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)
-        if register_tables:
-            register_current(spark, DIM_SPEC_TABLE, paths.dim, version, f"{table_prefix}{DIM_TABLE}")
-        return {"dim_version": version}
-    finally:
-        classified.unpersist()
+    classified = classify_once(with_unknown, view, DIM_SPEC)
+    if version is None or classified.differs:  # else there is nothing to write
+        state = dimension_state(dim, view, ctx, classified=classified)
+        version = write_state(state, DIM_SPEC_TABLE, paths.dim, version, dim_bucketing)
+    if register_tables:
+        register_current(spark, DIM_SPEC_TABLE, paths.dim, version, f"{table_prefix}{DIM_TABLE}")
+    return {"dim_version": version}

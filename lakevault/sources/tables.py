@@ -15,10 +15,11 @@ re-expressed with Spark's file writers:
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -301,6 +302,25 @@ def write_state(
     return version
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A new folder for an intermediate table, under the session's shared checkpoint folder."""
+    from lakevault.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{label}-{uuid.uuid4().hex}"
+
+
+def write_observed(write: Callable[[DataFrame], None], df: DataFrame, **metrics: Column) -> dict:
+    """Run a write and return aggregates of the rows it wrote, from the same job.
+
+    A map task that is run again after an executor loss can count its rows
+    twice: use counts only for "any?" and for sizes, never as exact totals;
+    minimum and maximum aren't affected.
+    """
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    write(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]))
+    return seen.get
+
+
 def materialize(df: DataFrame, label: str = "state", rebalance: bool = True) -> DataFrame:
     """Write ``df`` once as Parquet under the session's reliable checkpoint
     folder and return a DataFrame reading it back.
@@ -310,13 +330,8 @@ def materialize(df: DataFrame, label: str = "state", rebalance: bool = True) ->
     copy lives on the shared file system named by ``spark.checkpoint.dir``,
     never on an executor's local disk.
     """
-    import uuid
-
-    from lakevault.session import ensure_checkpoint_dir
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
+    path = scratch_table(spark, label)
     (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -361,7 +376,7 @@ def append_bucketed(df: DataFrame, spec: TableSpec, bucketing: Bucketing) -> Non
     out.write.insertInto(bucketing.table)
 
 
-def _merge_condition(keys: Sequence[str], target: str = "t", source: str = "s") -> F.Column:
+def _merge_condition(keys: Sequence[str], target: str = "t", source: str = "s") -> Column:
     cond = None
     for k in keys:
         part = F.col(f"{target}.{k}") == F.col(f"{source}.{k}")
