@@ -36,6 +36,7 @@ def current_entity_view(
     load_col: str = "load_ts",
     hd_col: str = "hd",
     keep_hk: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """One row per hub key with the newest state of every satellite.
 
@@ -43,13 +44,20 @@ def current_entity_view(
     smaller diff hash first on ties).  The window leaves every reduced
     satellite hash-partitioned on ``hk``, so the chain of joins on ``hk``
     shuffles the hub once and re-uses that partitioning for every satellite.
+
+    ``only`` (distinct hash keys, such as those of the last loads) limits the view to
+    these keys: a semi join below the windows, so neither the windows nor the joins
+    see any other key's history.
     """
-    view = hub.select(hk_col, *bk_cols)
+    def wanted(df: DataFrame) -> DataFrame:
+        return df if only is None else df.join(only.select(hk_col), hk_col, "left_semi")
+
+    view = wanted(hub.select(hk_col, *bk_cols))
     for sat in satellites:
         if sat.how not in ("inner", "left"):
             raise ValueError("SatelliteView.how must be 'inner' or 'left'")
         order = list(sat.order_by) or [F.col(load_col).desc(), F.col(hd_col).asc()]
-        newest = latest_per_key(sat.frame, [hk_col], order)
+        newest = latest_per_key(wanted(sat.frame), [hk_col], order)
         newest = newest.select(
             hk_col,
             *[(F.col(e) if isinstance(e, str) else e).alias(name) for name, e in sat.columns.items()],

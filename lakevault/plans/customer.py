@@ -256,8 +256,10 @@ def email_rows(
     )
 
 
-def current_view(hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how: str = "inner") -> DataFrame:
-    """Hub with the newest name/address and phone rows (e-mail unused)."""
+def current_view(
+    hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how: str = "inner", only: DataFrame | None = None
+) -> DataFrame:
+    """Hub with the newest name/address and phone rows (e-mail unused), of the hash keys in ``only`` if given."""
     return current_entity_view(
         hub,
         [
@@ -272,6 +274,7 @@ def current_view(hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how
         hk_col=HK,
         load_col=LOAD,
         hd_col=HD,
+        only=only,
     )
 
 
@@ -364,6 +367,7 @@ def replay_runs(
     lookback_days: int,
     record_source: str,
     sep: str = STORED_SEPARATOR,
+    gold: str = "full",
 ) -> DataFrame:
     """Replay daily runs ``[(process_date, load_ts), ...]`` over a bronze
     DataFrame with the production loads (appends + dimension versions) into a
@@ -379,9 +383,17 @@ def replay_runs(
     for process_date, load_ts in runs:
         snapshot, chosen = latest_snapshot(bronze, run_window(process_date, lookback_days))
         if chosen is not None:
-            load_snapshot(spark, snapshot, paths, LoadContext(load_ts, record_source), sep=sep)
-    state, _ = read_state(spark, DIM_SPEC_TABLE, paths.dim)
-    return state
+            load_snapshot(spark, snapshot, paths, LoadContext(load_ts, record_source), sep=sep, gold=gold)
+    return read_dimension(spark, paths, gold)
+
+
+def read_dimension(spark: SparkSession, paths: LakePaths, gold: str = "full") -> DataFrame:
+    """The dimension's current rows, as the loads with that ``gold`` mode store it."""
+    if gold == "full":
+        return read_state(spark, DIM_SPEC_TABLE, paths.dim)[0]
+    from lakevault.plans.incremental import dimension_table
+
+    return dimension_table(paths).read(spark)
 
 
 def run_customer_load(
@@ -398,6 +410,7 @@ def run_customer_load(
     register_tables: bool = False,
     mode: str = "ever_seen",
     phone_how: str = "inner",
+    gold: str = "full",
 ) -> dict:
     """Bronze -> silver -> gold for one process date.
 
@@ -423,7 +436,7 @@ def run_customer_load(
     summary.update(
         load_snapshot(
             spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix,
-            register_tables=register_tables, mode=mode, phone_how=phone_how,
+            register_tables=register_tables, mode=mode, phone_how=phone_how, gold=gold,
         )
     )
     return summary
@@ -440,6 +453,7 @@ def load_snapshot(
     register_tables: bool = False,
     mode: str = "ever_seen",
     phone_how: str = "inner",
+    gold: str = "full",
 ) -> dict:
     """All five loads for one chosen snapshot (silver appends, gold version).
 
@@ -447,20 +461,27 @@ def load_snapshot(
     hub and satellites and writes no dimension version, so a retried batch
     (e.g. a re-executed streaming micro-batch) is safe.  ``mode`` is the
     satellites' comparison, ``phone_how`` the dimension's join with phones.
+    ``gold`` is ``full`` (the whole dimension, a new version), ``changes`` or
+    ``pit`` (only customers with new rows, see ``plans/incremental.py``); a
+    lake stays with the mode it began with.
     """
     silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.select(*EXTRACT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    new_rows = {
+        "hub": lambda: hub_rows(snapshot, silver.read("hub"), ctx),
+        "general": lambda: general_rows(snapshot, silver.read("general"), ctx, mode, sep),
+        "phone": lambda: phone_rows(snapshot, silver.read("phone"), ctx, mode, sep),
+        "email": lambda: email_rows(snapshot, silver.read("email"), ctx, mode, sep),
+    }
     try:
+        if gold != "full":
+            from lakevault.plans.incremental import load_incremental
+
+            run_concurrently({"email": lambda: silver.append("email", new_rows["email"]())})
+            return load_incremental(spark, silver, paths, ctx, new_rows, gold, phone_how)
         # the four silver loads are independent jobs: submit them together
-        run_concurrently(
-            {
-                "hub": lambda: silver.append("hub", hub_rows(snapshot, silver.read("hub"), ctx)),
-                "general": lambda: silver.append("general", general_rows(snapshot, silver.read("general"), ctx, mode, sep)),
-                "phone": lambda: silver.append("phone", phone_rows(snapshot, silver.read("phone"), ctx, mode, sep)),
-                "email": lambda: silver.append("email", email_rows(snapshot, silver.read("email"), ctx, mode, sep)),
-            }
-        )
+        run_concurrently({name: (lambda name=name: silver.append(name, new_rows[name]())) for name in new_rows})
     finally:
         snapshot.unpersist()
 

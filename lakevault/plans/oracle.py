@@ -357,4 +357,9 @@ SELECT max(CASE WHEN r_name = 'AFRICA' THEN CAST(r_regionkey AS VARCHAR) END) AS
 FROM region
 """,
     "pipeline_dimension": _pipeline_sql(),
+    "dimension_incremental": _pipeline_sql(),
+    "dimension_pit": _pipeline_sql(),
+    "scd1_partitioned": _DIM_CTE + "\nSELECT * FROM merged",
 }
+# a table kept up to date load by load gives the view of the whole history
+ORACLE_SQL["pit_view"] = ORACLE_SQL["current_entity_view"]

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakevault.functions.columns import (
     FIELD_SEPARATOR,
@@ -38,13 +39,15 @@ from lakevault.operators.dimension import (
 from lakevault.operators.entity import SatelliteView, current_entity_view
 from lakevault.operators.hub import hub_new_rows
 from lakevault.operators.latest import latest_per_key
+from lakevault.operators.pit import PitLayout, pit_rows, pit_view
 from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.operators.surrogate import assign_surrogate_keys
 from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_bronze_two_days, customer_snapshot, table
+from lakevault.sources.keyed import KeyedTable
 from lakevault.sources.params import load_params
 from lakevault.sources.snapshots import latest_snapshot, run_window
-from lakevault.sources.tables import empty_frame
+from lakevault.sources.tables import ColumnSpec, TableSpec, empty_frame, materialize, scratch_table
 
 # Pinned run values shared with the oracle text.
 LOAD_TS = "2024-02-01 00:00:00"
@@ -236,7 +239,8 @@ def q_email_stage(spark: SparkSession, sf: str) -> DataFrame:
 # --- current entity view -----------------------------------------------------------------
 
 
-def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
+def _entity_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Customers as a hub, their orders and events as satellites."""
     customer = table(spark, sf, "customer")
     orders = table(spark, sf, "orders")
     events = table(spark, sf, "events")
@@ -253,8 +257,12 @@ def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
         hash_form="hex",
         dedupe=False,
     )
-    event_sat = _events_satellite(events, with_load=True)
-    view = current_entity_view(
+    return hub, order_sat, _events_satellite(events, with_load=True)
+
+
+def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
+    hub, order_sat, event_sat = _entity_tables(spark, sf)
+    return current_entity_view(
         hub,
         [
             SatelliteView(order_sat, {"last_order_status": "order_status", "last_order_priority": "order_priority"}),
@@ -263,7 +271,6 @@ def q_current_entity_view(spark: SparkSession, sf: str) -> DataFrame:
         bk_cols=["customer_key"],
         keep_hk=True,
     )
-    return view
 
 
 # --- Type-1 dimension ---------------------------------------------------------------------
@@ -377,6 +384,76 @@ def q_pipeline_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return dim.select(*[c for c in dim.columns if c != cust.LOAD], _ts(cust.LOAD))
 
 
+# --- incremental gold, stored by key ----------------------------------------------------------------
+
+
+def q_dimension_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two daily runs; gold reads and writes only what each run changed."""
+    bronze = customer_bronze_two_days(spark, sf)
+    dim = cust.replay_runs(spark, bronze, PIPELINE_RUNS, PIPELINE_LOOKBACK, "bronze/customers", gold="changes")
+    return dim.select(*[c for c in dim.columns if c != cust.LOAD], _ts(cust.LOAD))
+
+
+def q_dimension_pit(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two daily runs; gold reads the point-in-time table."""
+    bronze = customer_bronze_two_days(spark, sf)
+    dim = cust.replay_runs(spark, bronze, PIPELINE_RUNS, PIPELINE_LOOKBACK, "bronze/customers", gold="pit")
+    return dim.select(*[c for c in dim.columns if c != cust.LOAD], _ts(cust.LOAD))
+
+
+PIT_TEST_LAYOUT = PitLayout(
+    "pit", ColumnSpec("hk", T.StringType()), (ColumnSpec("customer_key", T.LongType()),),
+    {
+        "orders": (ColumnSpec("order_status", T.StringType()), ColumnSpec("order_priority", T.StringType())),
+        "events": (ColumnSpec("event_type", T.StringType()), ColumnSpec("value_bucket", T.LongType())),
+    },
+    "load_ts", ColumnSpec("hd", T.StringType()),
+)
+
+
+def pit_in_two_loads(spark: SparkSession, sf: str, path: str, parts: int = 16) -> KeyedTable:
+    """The customers' point-in-time table after two loads: rows before a date, then the rest.
+
+    Order dates and event times are the satellites' load times.
+    """
+    pit = KeyedTable(PIT_TEST_LAYOUT.spec, path, ("hk",), parts)
+    hub, orders, events = _entity_tables(spark, sf)
+    day = F.to_timestamp(F.lit(PROCESS_DATE + " 00:00:00"))
+    old_orders, old_events = F.col("load_ts") < F.to_timestamp(F.lit(ORDERS_SPLIT)), F.col("load_ts") < day
+    for hub_new, o, e in (
+        (hub, orders.filter(old_orders), events.filter(old_events)),
+        (hub.limit(0), orders.filter(~old_orders), events.filter(~old_events)),
+    ):
+        keys = materialize(hub_new.select("hk").union(o.select("hk")).union(e.select("hk")).distinct(), "pit-keys")
+        pit.upsert(pit_rows(pit.rows_of(spark, keys), hub_new, {"orders": o, "events": e}, keys, PIT_TEST_LAYOUT))
+    return pit
+
+
+def q_pit_view(spark: SparkSession, sf: str) -> DataFrame:
+    pit = pit_in_two_loads(spark, sf, scratch_table(spark, "pit"))
+    columns = {
+        "last_order_status": F.col("orders_order_status"), "last_order_priority": F.col("orders_order_priority"),
+        "last_event_type": F.col("events_event_type"), "last_value_bucket": F.col("events_value_bucket"),
+    }
+    return pit_view(pit.read(spark), PIT_TEST_LAYOUT, columns, ("orders", "events"), keep_hk=True)
+
+
+KEYED_DIM_SPEC = TableSpec(
+    "dim_by_key",
+    (ColumnSpec("dim_id", T.LongType()), ColumnSpec("customer_key", T.LongType()), ColumnSpec("name", T.StringType()),
+     ColumnSpec("segment", T.StringType()), ColumnSpec("nation", T.StringType()), ColumnSpec("load_ts", T.TimestampType())),
+)
+
+
+def q_scd1_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension stored by key hash; changed and new rows are put over it."""
+    dim, source, ctx = _dim_inputs(spark, sf)
+    table_ = KeyedTable(KEYED_DIM_SPEC, scratch_table(spark, "dim"), ("customer_key",), 16)
+    table_.upsert(dim)
+    table_.upsert(scd1_delta(table_.read(spark), source, DIM_TEST_SPEC, ctx))
+    return _dim_out(table_.read(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_latest": q_snapshot_latest,
     "snapshot_empty_window": q_snapshot_empty_window,
@@ -405,4 +482,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_surrogate_key": q_max_surrogate_key,
     "param_lookup": q_param_lookup,
     "pipeline_dimension": q_pipeline_dimension,
+    "dimension_incremental": q_dimension_incremental,
+    "dimension_pit": q_dimension_pit,
+    "pit_view": q_pit_view,
+    "scd1_partitioned": q_scd1_partitioned,
 }

@@ -193,7 +193,7 @@ def append_rows(df: DataFrame, spec: TableSpec, path: str) -> None:
 COMMITS_DIR = "_commits"  # leading underscore: invisible to partition discovery
 
 
-def _max_version(spark: SparkSession, path: str, sub: str = "") -> int | None:
+def _max_version(spark: SparkSession, path: str, sub: str = "", column: str = VERSION_COL) -> int | None:
     target = f"{path.rstrip('/')}/{sub}" if sub else path
     try:
         frame = spark.read.parquet(target)
@@ -201,9 +201,9 @@ def _max_version(spark: SparkSession, path: str, sub: str = "") -> int | None:
         if _missing(exc):  # a missing folder means "no version yet"
             return None
         raise
-    if VERSION_COL not in frame.columns:
+    if column not in frame.columns:
         return None
-    row = frame.select(F.max(VERSION_COL).alias("v")).first()
+    row = frame.select(F.max(column).alias("v")).first()
     return None if row is None or row["v"] is None else int(row["v"])
 
 
