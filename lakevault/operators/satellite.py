@@ -16,6 +16,7 @@ ColumnOrName = Column | str
 MODES = ("ever_seen", "latest")
 _BK = "__bk"
 _PAYLOAD = "__payload"
+LINEAGE = "__lineage"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -36,6 +37,7 @@ def satellite_stage(
     sep: str = FIELD_SEPARATOR,
     hash_form: str = "hex_binary",
     dedupe: bool = True,
+    lineage: ColumnOrName | None = None,
 ) -> DataFrame:
     """Hash and clean one snapshot into satellite candidates.
 
@@ -45,7 +47,9 @@ def satellite_stage(
     * ``row_filter``: rows to keep (e.g. a null-token check);
     * ``null_key``: ``"drop"`` removes rows without a key, a value replaces
       the missing key (such rows never join a hub row later);
-    * ``dedupe``: keep one candidate per (hk, hd) (a partial aggregation).
+    * ``dedupe``: keep one candidate per (hk, hd) (a partial aggregation);
+    * ``lineage``: where a row came from, stored as the record source of the
+      state (the smallest one of its candidates) in place of the run's.
 
     Output: ``hk``, ``hd`` and the payload columns -- all narrow operations
     except the optional de-duplication.
@@ -58,21 +62,27 @@ def satellite_stage(
         key_col = F.coalesce(key_col, F.lit(null_key))
     diffs = list(payload.values()) if diff_cols is None else list(diff_cols)
     diff_names = [f"__d{i}" for i in range(len(diffs))]
+    own = [] if lineage is None else [_col(lineage).alias(LINEAGE)]
     staged = rows.select(
         key_col.alias(_BK),
         *[_col(expr).alias(name) for name, expr in payload.items()],
         *[_col(expr).alias(name) for name, expr in zip(diff_names, diffs)],
+        *own,
     )
     staged = staged.select(
         hash_key(_BK, bits=key_bits, form=hash_form, key_not_null=True).alias(hk_col),
         hash_diff(_BK, *diff_names, bits=diff_bits, sep=sep, form=hash_form).alias(hd_col),
         *payload.keys(),
+        *([LINEAGE] if own else []),
     )
     if not dedupe:
         return staged
     names = list(payload.keys())
-    if not names:
+    if not names and not own:
         return staged.distinct()
+    sources = [F.min(LINEAGE).alias(LINEAGE)] if own else []
+    if not names:
+        return staged.groupBy(hk_col, hd_col).agg(*sources)
     # One candidate per (hk, hd).  Grouping on the two hash columns (not on
     # every column) keeps the map-side partial aggregation -- copies of a hot
     # pair collapse before the shuffle -- and leaves the result partitioned
@@ -80,8 +90,8 @@ def satellite_stage(
     # exchange.  min(struct) makes the payload choice deterministic should
     # two payloads ever share a diff hash.
     best = F.min(F.struct(*[F.col(n) for n in names])).alias(_PAYLOAD)
-    return staged.groupBy(hk_col, hd_col).agg(best).select(
-        hk_col, hd_col, *[F.col(_PAYLOAD).getField(n).alias(n) for n in names]
+    return staged.groupBy(hk_col, hd_col).agg(best, *sources).select(
+        hk_col, hd_col, *[F.col(_PAYLOAD).getField(n).alias(n) for n in names], *([LINEAGE] if own else [])
     )
 
 
@@ -134,11 +144,12 @@ def satellite_new_rows(
     """
     history = satellite_history_keys(satellite, mode, hk_col, hd_col, load_col)
     new = staged.join(history, on=[hk_col, hd_col], how="left_anti")
-    payload = [c for c in staged.columns if c not in (hk_col, hd_col)]
+    payload = [c for c in staged.columns if c not in (hk_col, hd_col, LINEAGE)]
+    source = F.coalesce(LINEAGE, ctx.source_col()) if LINEAGE in staged.columns else ctx.source_col()
     return new.select(
         hk_col,
         ctx.load_ts_col(granularity).alias(load_col),
         hd_col,
         *payload,
-        ctx.source_col().alias(source_col),
+        source.alias(source_col),
     )

@@ -34,8 +34,18 @@ from lakevault.operators.entity import SatelliteView, current_entity_view
 from lakevault.operators.hub import hub_new_rows
 from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.sources.params import load_params
-from lakevault.sources.snapshots import latest_snapshot, run_window, snapshot_date_from_parts
+from lakevault.sources.snapshots import (
+    SOURCE_FILE,
+    latest_snapshot,
+    newest_folder,
+    read_snapshots,
+    run_window,
+    snapshot_date_from_parts,
+    store_rejects,
+    with_source_file,
+)
 from lakevault.sources.tables import (
+    OPTIMIZE_WRITE,
     Bucketing,
     ColumnSpec,
     TableSpec,
@@ -47,6 +57,7 @@ from lakevault.sources.tables import (
     read_state,
     read_table,
     register_current,
+    scratch_table,
     write_state,
 )
 
@@ -92,10 +103,21 @@ STORED_SEPARATOR = ""
 EXTRACT_COLUMNS = ("customer_id", "first_name", "last_name", "street", "city", "state", "zip_code", "phone", "email")
 PARAM_PROCESS_DATE = "FechaProceso"
 PARAM_LOOKBACK_DAYS = "DiasCargarBorrar"
+PARAM_LAKE = "LagoDatos"
+PARAM_BRONZE = "MedallaBronce"
+PARAM_SCHEMA = "ContenedorLagoDatosReg"
+PARAM_VAULT_CATALOG = "DatabricksCatalogoDataVault"
+PARAM_DWH_CATALOG = "DatabricksCatalogoDwh"
 # ---------------------------------------------------------------------------
 
 BINARY, INT, STRING, TS = T.BinaryType(), T.IntegerType(), T.StringType(), T.TimestampType()
 
+TABLE_PROPERTIES = {OPTIMIZE_WRITE: "true"}
+# The declared schema of the extract; partition columns are added by the reader.
+BRONZE_SCHEMA = T.StructType(
+    [T.StructField(c, INT if c in ("customer_id", "zip_code") else STRING) for c in EXTRACT_COLUMNS]
+)
+
 HUB_SPEC = TableSpec(
     HUB_TABLE,
     (
@@ -106,6 +128,8 @@ HUB_SPEC = TableSpec(
     ),
     comment="customer hub: every business key once",
     cluster_by=(BK,),
+    properties=TABLE_PROPERTIES,
+    bloom=(BK,),
 )
 GENERAL_SPEC = TableSpec(
     SAT_GENERAL_TABLE,
@@ -118,6 +142,7 @@ GENERAL_SPEC = TableSpec(
     ),
     comment="customer satellite: name and address",
     cluster_by=(LOAD,),
+    properties=TABLE_PROPERTIES,
 )
 PHONE_SPEC = TableSpec(
     SAT_PHONE_TABLE,
@@ -131,6 +156,7 @@ PHONE_SPEC = TableSpec(
     ),
     comment="customer satellite: phone",
     cluster_by=(LOAD,),
+    properties=TABLE_PROPERTIES,
 )
 EMAIL_SPEC = TableSpec(
     SAT_EMAIL_TABLE,
@@ -143,6 +169,7 @@ EMAIL_SPEC = TableSpec(
     ),
     comment="customer satellite: e-mail",
     cluster_by=(LOAD,),
+    properties=TABLE_PROPERTIES,
 )
 DIM_SPEC_TABLE = TableSpec(
     DIM_TABLE,
@@ -155,6 +182,7 @@ DIM_SPEC_TABLE = TableSpec(
     ),
     comment="customer dimension, Type 1",
     cluster_by=(DIM_ID,),
+    properties=TABLE_PROPERTIES,
 )
 DIM_SPEC = DimensionSpec(
     id_col=DIM_ID,
@@ -175,10 +203,15 @@ DIM_SPEC = DimensionSpec(
 )
 
 
+def _lineage(snapshot: DataFrame) -> str | None:
+    """The column with each row's file, if the snapshot has one."""
+    return SOURCE_FILE if SOURCE_FILE in snapshot.columns else None
+
+
 def hub_rows(snapshot: DataFrame, hub: DataFrame, ctx: LoadContext) -> DataFrame:
     """New hub rows: non-null ``customer_id`` values not in the hub yet."""
     return hub_new_rows(
-        snapshot, hub, {BK: F.col("customer_id")}, ctx, hk_col=HK, load_col=LOAD, source_col=SOURCE
+        snapshot, hub, {BK: F.col("customer_id")}, ctx, hk_col=HK, load_col=LOAD, source_col=SOURCE, lineage=_lineage(snapshot)
     )
 
 
@@ -192,7 +225,8 @@ def general_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: i
         "CodigoPostalUbicacion": clean_positive_int("zip_code", -1),
     }
     return satellite_stage(
-        snapshot, "customer_id", payload, null_key="drop", hk_col=HK, hd_col=HD, sep=sep, diff_bits=diff_bits
+        snapshot, "customer_id", payload, null_key="drop", hk_col=HK, hd_col=HD, sep=sep, diff_bits=diff_bits,
+        lineage=_lineage(snapshot),
     )
 
 
@@ -219,6 +253,7 @@ def phone_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: int
         hd_col=HD,
         sep=sep,
         diff_bits=diff_bits,
+        lineage=_lineage(snapshot),
     )
 
 
@@ -244,6 +279,7 @@ def email_stage(snapshot: DataFrame, sep: str = STORED_SEPARATOR, diff_bits: int
         hd_col=HD,
         sep=sep,
         diff_bits=diff_bits,
+        lineage=_lineage(snapshot),
     )
 
 
@@ -311,6 +347,40 @@ class LakePaths:
     dim: str
 
 
+def paths_from_params(
+    params: DataFrame, bronze: str = "{LagoDatos}/{MedallaBronce}/customers", silver: str = "{LagoDatos}/{DatabricksCatalogoDataVault}",
+    gold: str = "{LagoDatos}/{DatabricksCatalogoDwh}",
+) -> tuple[LakePaths, dict[str, str]]:
+    """Folders and names of a lake, all from the parameter table (one job).
+
+    The templates name parameters in braces.  Also returns the parameters, among them the
+    schema in which the tables are registered.
+    """
+    keys = [PARAM_PROCESS_DATE, PARAM_LOOKBACK_DAYS, PARAM_LAKE, PARAM_BRONZE, PARAM_SCHEMA, PARAM_VAULT_CATALOG, PARAM_DWH_CATALOG]
+    found = load_params(params, keys, PARAM_KEY_COL, PARAM_VALUE_COL)
+    silver, gold = silver.format(**found), gold.format(**found)
+    tables = [f"{silver}/{t}" for t in (HUB_TABLE, SAT_GENERAL_TABLE, SAT_PHONE_TABLE, SAT_EMAIL_TABLE)]
+    return LakePaths(bronze.format(**found), *tables, f"{gold}/{DIM_TABLE}"), found
+
+
+def run_from_params(spark: SparkSession, params: DataFrame, load_ts: str, templates: dict | None = None, **options) -> dict:
+    """One load whose date, window, folders, schema and record source all come from the parameter table.
+
+    The tables are registered in the schema that the parameters name; the
+    session's current schema is that one during the load, and the former one afterwards.
+    """
+    paths, found = paths_from_params(params, **(templates or {}))
+    before = spark.catalog.currentDatabase()
+    spark.sql("USE IDENTIFIER(:name)", args={"name": found[PARAM_SCHEMA]})
+    try:
+        return run_customer_load(
+            spark, paths, load_ts, paths.bronze, found[PARAM_PROCESS_DATE], int(found[PARAM_LOOKBACK_DAYS]),
+            register_tables=True, **options,
+        )
+    finally:
+        spark.sql("USE IDENTIFIER(:name)", args={"name": before})
+
+
 class SilverTables:
     """Reads and appends of the four silver tables, plain or bucketed.
 
@@ -369,22 +439,30 @@ def replay_runs(
     sep: str = STORED_SEPARATOR,
     gold: str = "full",
 ) -> DataFrame:
-    """Replay daily runs ``[(process_date, load_ts), ...]`` over a bronze
-    DataFrame with the production loads (appends + dimension versions) into a
-    fresh folder under the session's checkpoint directory; returns the final
-    dimension state.  Each run reads the previous runs' stored tables, so no
-    plan ever replays earlier days."""
-    import uuid
+    """The final dimension after ``replay_lake``."""
+    return read_dimension(spark, replay_lake(spark, bronze, runs, lookback_days, record_source, sep, gold), gold)
 
-    from lakevault.session import ensure_checkpoint_dir
 
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
+def replay_lake(
+    spark: SparkSession,
+    bronze: DataFrame,
+    runs,
+    lookback_days: int,
+    record_source: str,
+    sep: str = STORED_SEPARATOR,
+    gold: str = "full",
+) -> LakePaths:
+    """Replay daily runs ``[(process_date, load_ts), ...]`` over a bronze
+    DataFrame with the production loads (appends + dimension versions) into a
+    fresh folder under the session's checkpoint directory.  Each run reads the
+    previous runs' stored tables, so no plan ever replays earlier days."""
+    base = scratch_table(spark, "replay")
     paths = LakePaths(f"{base}/bronze", *[f"{base}/{n}" for n in ("hub", "general", "phone", "email", "dim")])
     for process_date, load_ts in runs:
         snapshot, chosen = latest_snapshot(bronze, run_window(process_date, lookback_days))
         if chosen is not None:
             load_snapshot(spark, snapshot, paths, LoadContext(load_ts, record_source), sep=sep, gold=gold)
-    return read_dimension(spark, paths, gold)
+    return paths
 
 
 def read_dimension(spark: SparkSession, paths: LakePaths, gold: str = "full") -> DataFrame:
@@ -411,6 +489,9 @@ def run_customer_load(
     mode: str = "ever_seen",
     phone_how: str = "inner",
     gold: str = "full",
+    bronze_schema: T.StructType | None = None,
+    lineage: bool = False,
+    rejects: str | None = None,
 ) -> dict:
     """Bronze -> silver -> gold for one process date.
 
@@ -418,6 +499,11 @@ def run_customer_load(
     all keys).  Each silver load appends only new rows; the dimension is
     written as a new version.  Gold reads the silver tables back from
     storage, which cuts the lineage between the layers.
+
+    With ``bronze_schema`` (``BRONZE_SCHEMA``, say) the snapshot is chosen by
+    folder names and no other day's file is opened.  ``lineage`` stores each
+    row's file as its record source.  ``rejects`` is a folder for the rows of
+    bronze whose date parts give no date; their number is in the summary.
     """
     if params is not None:
         found = load_params(params, [PARAM_PROCESS_DATE, PARAM_LOOKBACK_DAYS], PARAM_KEY_COL, PARAM_VALUE_COL)
@@ -427,11 +513,18 @@ def run_customer_load(
         raise ValueError("process_date and lookback_days are required (directly or via params)")
     ctx = LoadContext(load_ts, record_source)
     window = run_window(process_date, lookback_days)
-    bronze = spark.read.parquet(paths.bronze)
-    snapshot, chosen = latest_snapshot(bronze, window, snapshot_date_from_parts())
-    summary: dict = {"snapshot_date": chosen}
+    summary: dict = {}
+    if rejects is not None:
+        summary["rejected_rows"] = store_rejects(read_snapshots(spark, paths.bronze), rejects, ctx.load_ts_col())
+    if bronze_schema is not None:
+        snapshot, chosen = newest_folder(spark, paths.bronze, bronze_schema, window)
+    else:
+        snapshot, chosen = latest_snapshot(read_snapshots(spark, paths.bronze), window, snapshot_date_from_parts())
+    summary["snapshot_date"] = chosen
     if chosen is None:
         return summary  # nothing in the window: every load is a no-op
+    if lineage:
+        snapshot = with_source_file(snapshot)
 
     summary.update(
         load_snapshot(
@@ -467,7 +560,7 @@ def load_snapshot(
     """
     silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
-    snapshot = snapshot.select(*EXTRACT_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    snapshot = snapshot.select(*EXTRACT_COLUMNS, *filter(None, [_lineage(snapshot)])).persist(StorageLevel.MEMORY_AND_DISK)
     new_rows = {
         "hub": lambda: hub_rows(snapshot, silver.read("hub"), ctx),
         "general": lambda: general_rows(snapshot, silver.read("general"), ctx, mode, sep),

@@ -242,6 +242,31 @@ FROM c
 """
 
 
+def _pipeline_satellite(stage: str, columns: str, t1: str = "2024-01-19 00:00:00", t2: str = "2024-01-20 00:00:00") -> str:
+    """The stored rows after two days: a state seen on day 1 isn't stored again."""
+    return f"""
+WITH {FIXTURE.strip()},
+snap AS (
+  SELECT 1 AS day, customer_id, CASE WHEN c_custkey % 6 = 0 THEN '(999) 000-0000' ELSE phone END AS phone, email FROM fx
+  WHERE c_custkey % 7 <> 0 OR customer_id IS NULL
+  UNION ALL SELECT 2, customer_id, phone, email FROM fx
+),
+c AS (SELECT DISTINCT day, coalesce(customer_id, -1) AS k, {stage}),
+n AS (SELECT * FROM c WHERE day = 1 UNION ALL
+      SELECT * FROM c WHERE day = 2 AND NOT EXISTS (SELECT 1 FROM c o WHERE o.day = 1 AND o.k = c.k AND o.state = c.state))
+SELECT sha256(CAST(k AS VARCHAR)) AS Hk_Clientes, CASE day WHEN 1 THEN '{t1}' ELSE '{t2}' END AS FechaRegistro,
+       {columns}, 'bronze/customers' AS FuenteDatos
+FROM n
+"""
+
+
+_DAMAGED = """
+  SELECT event_id, CAST(year(ts) AS VARCHAR) AS y,
+    CASE WHEN event_id % 77 = 0 THEN '13' WHEN event_id % 91 = 0 THEN 'x' ELSE CAST(month(ts) AS VARCHAR) END AS m,
+    CASE WHEN event_id % 50 = 0 THEN '32' WHEN event_id % 83 = 0 THEN NULL ELSE CAST(day(ts) AS VARCHAR) END AS d
+  FROM events"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "snapshot_latest": """
 WITH w AS (
@@ -359,7 +384,29 @@ FROM region
     "pipeline_dimension": _pipeline_sql(),
     "dimension_incremental": _pipeline_sql(),
     "dimension_pit": _pipeline_sql(),
+    "pipeline_sat_phone": _pipeline_satellite(
+        """substr(phone, 1, instr(phone, ')')) AS code, replace(substr(phone, instr(phone, ')') + 1, 25), '-', '') AS rest,
+       concat(code, rest) AS state FROM snap WHERE phone IS NOT NULL AND phone <> 'NULL'""",
+        "code AS CodigoPais, coalesce(TRY_CAST(rest AS INTEGER), -1) AS NumeroTelefono",
+    ),
+    "pipeline_sat_email": _pipeline_satellite("email AS state FROM snap WHERE email IS NOT NULL", "state AS CorreoElectronico"),
+    "hub_lineage": f"""
+SELECT sha256(CAST(k AS VARCHAR)) AS hk, k AS customer_key, '{LOAD_TS}' AS load_ts, min(f) AS record_source
+FROM (SELECT o_custkey AS k, 'orders.parquet' AS f FROM orders UNION ALL SELECT user_id, 'events.parquet' FROM events)
+WHERE k IS NOT NULL GROUP BY k
+""",
+    "snapshot_rejects": f"""
+WITH x AS ({_DAMAGED.strip()})
+SELECT event_id, concat(coalesce(y, ''), '-', coalesce(m, ''), '-', coalesce(d, '')) AS snapshot_text,
+       CASE WHEN d IS NULL THEN 'part missing' WHEN m = 'x' THEN 'part is no number' WHEN m = '13' THEN 'no such month'
+            ELSE 'no such day' END AS reason, '{LOAD_TS}' AS load_ts
+FROM x WHERE d IS NULL OR m IN ('x', '13') OR d = '32'
+""",
     "scd1_partitioned": _DIM_CTE + "\nSELECT * FROM merged",
 }
 # a table kept up to date load by load gives the view of the whole history
 ORACLE_SQL["pit_view"] = ORACLE_SQL["current_entity_view"]
+# other layouts and ways to read, the same rows
+ORACLE_SQL["hub_ranged"] = ORACLE_SQL["hub_merged"]
+ORACLE_SQL["hub_selective"] = ORACLE_SQL["hub_new_keys"]
+ORACLE_SQL["snapshot_by_folder"] = ORACLE_SQL["snapshot_latest"]

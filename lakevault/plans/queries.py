@@ -44,10 +44,17 @@ from lakevault.operators.satellite import satellite_new_rows, satellite_stage
 from lakevault.operators.surrogate import assign_surrogate_keys
 from lakevault.plans import customer as cust
 from lakevault.plans.testdata import customer_bronze_two_days, customer_snapshot, table
-from lakevault.sources.keyed import KeyedTable
+from lakevault.sources.keyed import KeyedTable, RangeTable
 from lakevault.sources.params import load_params
-from lakevault.sources.snapshots import latest_snapshot, run_window
-from lakevault.sources.tables import ColumnSpec, TableSpec, empty_frame, materialize, scratch_table
+from lakevault.sources.snapshots import (
+    SOURCE_FILE,
+    latest_snapshot,
+    newest_folder,
+    run_window,
+    store_rejects,
+    with_source_file,
+)
+from lakevault.sources.tables import ColumnSpec, TableSpec, append_rows, empty_frame, materialize, read_table, scratch_table
 
 # Pinned run values shared with the oracle text.
 LOAD_TS = "2024-02-01 00:00:00"
@@ -384,6 +391,99 @@ def q_pipeline_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return dim.select(*[c for c in dim.columns if c != cust.LOAD], _ts(cust.LOAD))
 
 
+# --- stored satellites, lineage, layouts, rejects ------------------------------------------------------
+
+
+def _replayed(spark: SparkSession, sf: str, spec: TableSpec, name: str) -> DataFrame:
+    paths = cust.replay_lake(spark, customer_bronze_two_days(spark, sf), PIPELINE_RUNS, PIPELINE_LOOKBACK, "bronze/customers")
+    stored = read_table(spark, spec, getattr(paths, name))
+    kept = [c for c in spec.column_names if c not in (cust.HK, cust.HD, cust.LOAD)]  # the oracle has no SHA-512
+    return stored.select(_hex(cust.HK), _ts(cust.LOAD), *kept)
+
+
+def q_pipeline_sat_phone(spark: SparkSession, sf: str) -> DataFrame:
+    return _replayed(spark, sf, cust.PHONE_SPEC, "phone")
+
+
+def q_pipeline_sat_email(spark: SparkSession, sf: str) -> DataFrame:
+    return _replayed(spark, sf, cust.EMAIL_SPEC, "email")
+
+
+def q_hub_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """A hub of customers that order or cause events; each key's record source is its (first) file's name."""
+    file_name = F.element_at(F.split(F.col(SOURCE_FILE), "/"), -1).alias("file")
+    orders = with_source_file(table(spark, sf, "orders")).select(F.col("o_custkey").alias("k"), file_name)
+    events = with_source_file(table(spark, sf, "events")).select(F.col("user_id").alias("k"), file_name)
+    empty = empty_frame(spark, "customer_key bigint")
+    new = hub_new_rows(
+        orders.unionByName(events), empty, {"customer_key": F.col("k")}, LoadContext(LOAD_TS, "unknown"), hash_form="hex",
+        lineage="file",
+    )
+    return new.select("hk", "customer_key", _ts("load_ts"), "record_source")
+
+
+HUB_RANGED_SPEC = TableSpec(
+    "hub_by_range",
+    (ColumnSpec("hk", T.StringType()), ColumnSpec("customer_key", T.LongType()), ColumnSpec("load_ts", T.TimestampType()),
+     ColumnSpec("record_source", T.StringType())),
+)
+
+
+def hub_in_ranges(spark: SparkSession, sf: str, path: str, ranges: int = 8) -> RangeTable:
+    """The orders hub after two loads, in files of disjoint key ranges."""
+    existing, new = _orders_hub(spark, sf)
+    hub = RangeTable.open(spark, HUB_RANGED_SPEC, path, "customer_key", existing, ranges)
+    hub.upsert(existing)
+    hub.upsert(new)
+    return hub
+
+
+def q_hub_ranged(spark: SparkSession, sf: str) -> DataFrame:
+    hub = hub_in_ranges(spark, sf, scratch_table(spark, "hub"))
+    return hub.read(spark).select("hk", "customer_key", _ts("load_ts"), "record_source")
+
+
+def q_hub_selective(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored hub probed for the keys of the newest orders only."""
+    orders = table(spark, sf, "orders")
+    existing, _ = _orders_hub(spark, sf)
+    stored = TableSpec("hub", HUB_RANGED_SPEC.columns, cluster_by=("customer_key",), bloom=("customer_key",))
+    path = scratch_table(spark, "hub")
+    append_rows(existing, stored, path)
+    after = orders.filter(F.col("o_orderdate") >= F.to_timestamp(F.lit(ORDERS_SPLIT)))
+    new = hub_new_rows(
+        after, read_table(spark, stored, path), {"customer_key": F.col("o_custkey")}, LoadContext(LOAD_TS, "orders"),
+        hash_form="hex", selective=True,
+    )
+    return new.select("hk", "customer_key", _ts("load_ts"), "record_source")
+
+
+def q_snapshot_by_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in day folders; the snapshot is chosen by folder names, other files stay closed."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts")
+    path = scratch_table(spark, "events")
+    day = F.col("ts").cast("date")
+    dated = events.select("*", F.year(day).alias("año"), F.month(day).alias("mes"), F.dayofmonth(day).alias("dia"))
+    dated.repartition("año", "mes", "dia").write.partitionBy("año", "mes", "dia").parquet(path)
+    snap, chosen = newest_folder(spark, path, events.schema, run_window(PROCESS_DATE, LOOKBACK_DAYS))
+    return snap.select("event_id", "user_id", "event_type", F.lit(chosen.isoformat() if chosen else None).alias("snapshot_date"))
+
+
+def q_snapshot_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose date parts were damaged, with the reason; stored and read back."""
+    e = table(spark, sf, "events")
+    i, day = F.col("event_id"), F.col("ts").cast("date")
+    damaged = e.select(
+        "event_id",
+        F.year(day).cast("string").alias("año"),
+        F.when(i % 77 == 0, F.lit("13")).when(i % 91 == 0, F.lit("x")).otherwise(F.month(day).cast("string")).alias("mes"),
+        F.when(i % 50 == 0, F.lit("32")).when(i % 83 == 0, F.lit(None)).otherwise(F.dayofmonth(day).cast("string")).alias("dia"),
+    )
+    path = scratch_table(spark, "rejects")
+    store_rejects(damaged, path, F.to_timestamp(F.lit(LOAD_TS)))
+    return spark.read.parquet(path).select("event_id", "snapshot_text", "reason", _ts("load_ts"))
+
+
 # --- incremental gold, stored by key ----------------------------------------------------------------
 
 
@@ -485,5 +585,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_incremental": q_dimension_incremental,
     "dimension_pit": q_dimension_pit,
     "pit_view": q_pit_view,
+    "pipeline_sat_phone": q_pipeline_sat_phone,
+    "pipeline_sat_email": q_pipeline_sat_email,
+    "hub_lineage": q_hub_lineage,
+    "hub_ranged": q_hub_ranged,
+    "hub_selective": q_hub_selective,
+    "snapshot_by_folder": q_snapshot_by_folder,
+    "snapshot_rejects": q_snapshot_rejects,
     "scd1_partitioned": q_scd1_partitioned,
 }

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # lists of keys up to this length are looked up in Parquet's Bloom filters one by one
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
 }
 
 
@@ -57,6 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
+        refuse_local_folder(spark, conf_dir)
         spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
     existing = spark.sparkContext.getCheckpointDir()
@@ -70,3 +73,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="lakevault-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(local_dir)
     return local_dir
+
+
+def refuse_local_folder(spark: SparkSession, path: str) -> None:
+    """Raise if several machines would each write to a temporary folder of their own."""
+    local = path.startswith(("file:", "/")) and path.split(":", 1)[-1].lstrip("/").startswith(("tmp/", "var/tmp/"))
+    if local and spark.sparkContext.master.startswith(("yarn", "k8s", "mesos")):
+        raise RuntimeError(f"spark.checkpoint.dir is {path}: on a cluster it must be a folder that all machines share")

@@ -15,6 +15,7 @@ facts an incremental load needs: how far it has read and the greatest id.
 from __future__ import annotations
 
 import json
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -45,6 +46,9 @@ class KeyedTable:
         """The partition of a row whose key columns have the declared types."""
         return F.pmod(F.xxhash64(*self.key), F.lit(self.parts)).cast("int")
 
+    def _laid_out(self, rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", PART).sortWithinPartitions(PART, *self.key)
+
     def typed(self, rows: DataFrame) -> DataFrame:
         return conform(rows, self.spec).withColumn(PART, self.part_of())
 
@@ -104,8 +108,7 @@ class KeyedTable:
         schema = T.StructType([*self.spec.schema.fields, T.StructField(PART, T.IntegerType())])
         new = spark.read.schema(schema).parquet(path)
         kept = self.read(spark, touched).join(new.select(*self.key), list(self.key), "left_anti").withColumn(PART, self.part_of())
-        kept.unionByName(new).hint("rebalance", PART).sortWithinPartitions(PART, *self.key).write.mode("overwrite").parquet(
-            self._folder("_next"))
+        self._laid_out(kept.unionByName(new)).write.mode("overwrite").parquet(self._folder("_next"))
         self._note(spark, run, ANNOUNCED, json.dumps(state))
         self._publish(spark, run, json.dumps(state))
         return touched
@@ -113,14 +116,8 @@ class KeyedTable:
     def _publish(self, spark: SparkSession, run: int, facts: str) -> None:
         schema = T.StructType([*self.spec.schema.fields, T.StructField(PART, T.IntegerType())])
         rows = spark.read.schema(schema).parquet(self._folder("_next"))
-        (
-            rows.hint("rebalance", PART)
-            .sortWithinPartitions(PART, *self.key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART)
-            .parquet(self._folder("data"))
-        )
+        writer = self._laid_out(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(PART).parquet(self._folder("data"))
         self._note(spark, run, DONE, facts)
 
     def _note(self, spark: SparkSession, run: int, step: str, facts: str) -> None:
@@ -137,3 +134,52 @@ class KeyedTable:
             return {}
         last = log.groupBy("step").agg(F.max(F.struct("run", "facts")).alias("last")).collect()
         return {r["step"]: (r["last"]["run"], r["last"]["facts"]) for r in last}
+
+
+@dataclass(frozen=True)
+class RangeTable(KeyedTable):
+    """A keyed table whose partitions are ranges of its one key: files with disjoint key ranges.
+
+    Partition i holds keys up to ``bounds[i]``, the last one all greater keys;
+    each is one sorted file, so a probe for some keys opens only the files of
+    their ranges.  The bounds come from stored rows (``key_bounds``), as many as give files of a good size,
+    and stay with the table.
+    """
+
+    bounds: tuple = ()
+
+    @classmethod
+    def open(cls, spark: SparkSession, spec: TableSpec, path: str, key: str, first_rows: DataFrame | None = None,
+             ranges: int = 64) -> RangeTable:
+        """The stored table, or a new one with bounds from ``first_rows``."""
+        found = KeyedTable(spec, path, (key,)).state(spark).get("bounds")
+        if found is None:
+            if first_rows is None:
+                raise ValueError(f"{spec.name}: a new table takes its bounds from its first rows")
+            found = key_bounds(first_rows, key, ranges)
+        return cls(spec, path, (key,), len(found) + 1, tuple(found))
+
+    def part_of(self) -> Column:
+        key = F.col(self.key[0])
+        below = F.filter(F.array(*[F.lit(b) for b in self.bounds]), lambda b: b < key) if self.bounds else F.array()
+        return F.size(below).cast("int")
+
+    def _laid_out(self, rows: DataFrame) -> DataFrame:
+        return rows.repartition(PART).sortWithinPartitions(PART, *self.key)
+
+    def upsert(self, rows: DataFrame, facts: dict | None = None, greatest: str | None = None) -> list[int]:
+        return super().upsert(rows, {**(facts or {}), "bounds": list(self.bounds)}, greatest)
+
+    def read_between(self, spark: SparkSession, low, high) -> DataFrame:
+        """Rows with keys from ``low`` to ``high``; only their ranges' files are opened."""
+        parts = list(range(bisect_left(self.bounds, low), bisect_left(self.bounds, high) + 1))
+        return self.read(spark, parts).filter(F.col(self.key[0]).between(low, high))
+
+
+def key_bounds(rows: DataFrame, key: str, ranges: int) -> list:
+    """At most ``ranges - 1`` increasing bounds that split a numeric key evenly (one aggregate, no shuffle of rows)."""
+    if ranges < 2:
+        return []
+    shares = [i / ranges for i in range(1, ranges)]
+    found = rows.agg(F.percentile_approx(key, shares, 10_000).alias("b")).first()["b"]
+    return sorted(set(found or []))

@@ -10,8 +10,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -53,12 +55,8 @@ def snapshot_date_from_parts(year: str = "año", month: str = "mes", day: str =
     filter (the scan lists and opens just the matching folders).  Invalid
     parts give NULL instead of failing the job under ANSI mode.
     """
-    text = F.concat_ws(
-        "-",
-        F.col(f"`{year}`").cast("string"),
-        F.col(f"`{month}`").cast("string"),
-        F.col(f"`{day}`").cast("string"),
-    )
+    parts = [F.col(f"`{c}`").cast("string") for c in (year, month, day)]
+    text = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2])  # NULL if a part is
     return F.try_to_date(text, "yyyy-M-d")
 
 
@@ -111,3 +109,84 @@ def latest_snapshot(
     else:
         chosen = df.filter(date_col == F.lit(newest))
     return chosen, newest
+
+
+# The partition folders of a snapshot and the number of digits a part may be padded to.
+DATE_PARTS = (("año", 4), ("mes", 2), ("dia", 2))
+SOURCE_FILE = "__source_file"
+REJECT_REASON, REJECT_DATE = "reason", "snapshot_text"
+
+
+def day_folders(day: dt.date, parts: tuple[tuple[str, int], ...] = DATE_PARTS) -> str:
+    """Glob of a day's folders, with and without leading zeros: ``año=2024/mes={1,01}/dia=18``."""
+    out = []
+    for (name, digits), value in zip(parts, (day.year, day.month, day.day)):
+        texts = sorted({str(value), str(value).zfill(digits)})
+        out.append(f"{name}={texts[0] if len(texts) == 1 else '{' + ','.join(texts) + '}'}")
+    return "/".join(out)
+
+
+def newest_folder(
+    spark: SparkSession, path: str, schema: T.StructType, window: RunWindow, parts: tuple[tuple[str, int], ...] = DATE_PARTS,
+    fmt: str = "parquet",
+) -> tuple[DataFrame, dt.date | None]:
+    """Rows of the newest day inside ``window`` that has files, chosen by folder names alone.
+
+    With a declared schema neither the choice nor the plan opens a file, and
+    only the window's folders are listed, newest first: the number of
+    listings is bounded by the window, not by the age of the lake.  A day's
+    folder without files isn't a snapshot; a day whose files hold no rows is one.  An empty window
+    yields an empty frame and ``None``.
+    """
+    full = schema
+    for name, _ in parts:
+        if name not in schema.names:
+            full = T.StructType([*full.fields, T.StructField(name, T.IntegerType())])
+    day = window.end
+    while day >= window.start:
+        try:
+            frame = spark.read.format(fmt).schema(full).option("basePath", path).load(f"{path.rstrip('/')}/{day_folders(day, parts)}")
+            if frame.inputFiles():
+                return frame, day
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+        day -= dt.timedelta(days=1)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields]), None
+
+
+def with_source_file(df: DataFrame, name: str = SOURCE_FILE) -> DataFrame:
+    """Adds the file each row was read from (``df`` must scan files): the row's own record source."""
+    return df.select("*", F.col("_metadata.file_path").alias(name))
+
+
+def rejected_rows(df: DataFrame, year: str = "año", month: str = "mes", day: str = "dia") -> DataFrame:
+    """Rows whose date parts give no date, with the parts as text and the reason.
+
+    The other side of ``snapshot_date_from_parts``: together they are all rows.
+    """
+    parts = [F.col(f"`{c}`").cast("string") for c in (year, month, day)]
+    text = F.concat_ws("-", *[F.coalesce(p, F.lit("")) for p in parts])
+    missing = parts[0].isNull() | parts[1].isNull() | parts[2].isNull()
+    number = [p.try_cast("int") for p in parts]
+    reason = (
+        F.when(missing, F.lit("part missing"))
+        .when(number[0].isNull() | number[1].isNull() | number[2].isNull(), F.lit("part is no number"))
+        .when((number[1] < 1) | (number[1] > 12), F.lit("no such month"))
+        .otherwise(F.lit("no such day"))
+    )
+    bad = missing | snapshot_date_from_parts(year, month, day).isNull()
+    return df.filter(bad).select("*", text.alias(REJECT_DATE), reason.alias(REJECT_REASON))
+
+
+def store_rejects(df: DataFrame, path: str, load_ts: Column, **date_parts: str) -> int:
+    """Append the rejected rows to a reject table; returns their number.
+
+    The count comes from the write's own job.  When the parts are partition
+    columns only the folders with unparsable dates are read.
+    """
+    from lakevault.sources.tables import write_observed
+
+    rows = rejected_rows(df, **date_parts).withColumn("load_ts", load_ts)
+    seen = write_observed(lambda x: x.write.mode("append").parquet(path), rows, n=F.count(F.lit(1)))
+    return int(seen["n"])

@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from lakevault.functions.columns import require_not_null
 
 VERSION_COL = "version"
+# The table property that turns rebalanced writes on ("true", the default) or off.
+OPTIMIZE_WRITE = "lakevault.optimizeWrite"
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,16 @@ class TableSpec:
     comment: str = ""
     cluster_by: tuple[str, ...] = ()
     properties: dict[str, str] = field(default_factory=dict)
+    bloom: tuple[str, ...] = ()  # key columns whose files carry a Bloom filter
+
+    @property
+    def optimized_write(self) -> bool:
+        """Whether writes rebalance their output into well-sized files."""
+        return self.properties.get(OPTIMIZE_WRITE, "true") == "true"
+
+    @property
+    def write_options(self) -> dict[str, str]:
+        return {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.bloom}
 
     @property
     def schema(self) -> T.StructType:
@@ -112,7 +124,7 @@ def _table_ddl_tail(spec: TableSpec) -> str:
 
 def _require_location(spark: SparkSession, table: str, path: str) -> None:
     """Raise if a table of that name is stored elsewhere: it is another lake's."""
-    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    found = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", args={"name": table}).filter("col_name = 'Location'").first()
     plain = lambda x: re.sub(r"^file:/*", "/", x).rstrip("/")
     if found is not None and plain(found["data_type"]) != plain(path):
         raise ValueError(f"table {table} is stored at {found['data_type']}, not at {path}; use another table prefix")
@@ -136,7 +148,8 @@ def ensure_table(spark: SparkSession, spec: TableSpec, path: str, table_name: st
     tables accept NULLs), the table comment and the clustering columns.  The
     layout itself is produced by the writers (sorted, well-sized files).
     """
-    spark.sql(table_ddl(spec, path, table_name))
+    name = table_name or spec.name
+    spark.sql(table_ddl(spec, path, "IDENTIFIER(:name)"), args={"name": name})
     _require_location(spark, table_name or spec.name, path)
 
 
@@ -146,11 +159,11 @@ def register_current(spark: SparkSession, spec: TableSpec, path: str, version: i
     The table is external, so dropping the old entry removes no files.
     """
     name = table_name or spec.name
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
     ensure_table(spark, spec, _version_dir(path, version), name)
 
 
-def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _cluster(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rebalance, then sort each written file by the cluster columns.
 
     The ``rebalance`` hint is Spark's optimised write: AQE splits or merges
@@ -165,8 +178,8 @@ def _cluster(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     would put every new row of the load into a single task.  Each append
     already lands in its own files, so the table stays clustered by load.
     """
-    balanced = df.hint("rebalance")
-    return balanced.sortWithinPartitions(*cols) if cols else balanced
+    balanced = df.hint("rebalance") if spec.optimized_write else df
+    return balanced.sortWithinPartitions(*spec.cluster_by) if spec.cluster_by else balanced
 
 
 def _missing(exc: AnalysisException) -> bool:
@@ -187,7 +200,7 @@ def read_table(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
 
 def append_rows(df: DataFrame, spec: TableSpec, path: str) -> None:
     """Insert-only load: append the (already anti-joined) new rows."""
-    _cluster(conform(df, spec), spec.cluster_by).write.mode("append").parquet(path)
+    _cluster(conform(df, spec), spec).write.mode("append").options(**spec.write_options).parquet(path)
 
 
 COMMITS_DIR = "_commits"  # leading underscore: invisible to partition discovery
@@ -282,7 +295,7 @@ def write_state(
     while _folder_exists(spark, _version_dir(path, version)):  # left by an interrupted write
         version += 1
     if bucketing is None:
-        out = _cluster(conform(df, spec), spec.cluster_by).withColumn(VERSION_COL, F.lit(version))
+        out = _cluster(conform(df, spec), spec).withColumn(VERSION_COL, F.lit(version))
         out.write.mode("append").partitionBy(VERSION_COL).parquet(path)
     else:
         cols = list(bucketing.columns)
