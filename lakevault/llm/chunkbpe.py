@@ -10,12 +10,11 @@ depends on the neighbours.  Each join of chunks is therefore repaired: the open
 of the left one and the open beginning of the right one are encoded again as one
 word, which grows over whole chunks until there is a gap on either side.  From
 a gap on both encodings agree exactly: the tokenizer turns runs of white space into
-splits that no token crosses, its normalisation composes nothing across them, and its special strings hold none.  Only blank, tab, line
-feed and carriage return count as gaps here; any other white space is left to the
-tokenizer inside a word.
+splits that no token crosses, its normalisation composes nothing across them, and its special strings hold none.  Only ASCII white space
+counts as a gap here; any other is left to the tokenizer inside a word.
 
-Distinct words of a batch are encoded together by the tokenizer; a bounded cache
-keeps their ids.
+Distinct words of a batch are encoded together, without the stop behind an ASCII
+letter, which the tokenizer splits off anyway; a bounded cache keeps their ids.
 
 Edges: NULL and empty texts have no ids and decode to "".  Special strings in
 a text become their tokens, as the library's default has it.  Repeated rows and
@@ -28,11 +27,15 @@ chunk's own SHA-256.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import string
 from collections.abc import Callable, Iterator
+from struct import Struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +44,13 @@ from tokenizers import Tokenizer
 from lakevault.llm.common import staged, staged_matches, table
 
 WINDOW = 32  # bytes under the rolling hash
-MEAN, LEAST, MOST = 1024, 256, 8192  # bytes of a chunk
+MEAN, LEAST, MOST = 1024, 256, 8192  # bytes of a chunk; MEAN is a power of two
 SLAB = 1 << 20  # bytes hashed together
-GROUP = 1 << 20  # bytes of text coded together
+GROUP, ROWS = 1 << 22, 5_000  # bytes of text and rows coded together
 WORDS = 200_000  # cached words
-GAP = re.compile(r"[ \t\n\r]+")
-GAP_BYTES = re.compile(rb"[ \t\n\r]")
+TOGETHER = 2_000  # words of one call
+STOPS, LETTERS = ".,;:!?", frozenset(string.ascii_letters)  # the tokenizer splits between a letter and a stop
+GAP = re.compile(rb"[ \t\n\r]")
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -59,6 +63,7 @@ def _byte_values() -> np.ndarray:
 
 
 _VALUES = _byte_values()
+_ASK = np.uint64((MEAN - 1) << 40)  # the bits that are zero at a cut
 
 
 def _hash_cuts(data: np.ndarray, at: int, to: int) -> np.ndarray:
@@ -70,7 +75,7 @@ def _hash_cuts(data: np.ndarray, at: int, to: int) -> np.ndarray:
         longer = h.copy()
         longer[width:] += h[:-width] * np.uint64(factor)
         h, width, factor = longer, 2 * width, factor * factor & 0xFFFFFFFFFFFFFFFF
-    ends = np.flatnonzero((h >> np.uint64(40)) % np.uint64(MEAN) == 0) + lead + 1
+    ends = np.flatnonzero((h & _ASK) == 0) + lead + 1
     ends = ends[(ends > max(at, WINDOW - 1)) & (ends < len(data))]
     return ends[(data[ends] & 0xC0) != 0x80]
 
@@ -100,7 +105,7 @@ def chunks_of(raw: bytes) -> list[bytes]:
 
 def inner_part(chunk: bytes) -> tuple[int, int] | None:
     """From behind the first gap character to the last one; None without two of them around a word."""
-    first = GAP_BYTES.search(chunk)
+    first = GAP.search(chunk)
     if first is None:
         return None
     a = first.end()
@@ -108,29 +113,96 @@ def inner_part(chunk: bytes) -> tuple[int, int] | None:
     return (a, b) if b > a else None
 
 
+class Ids(bytes):
+    """Packed ids of a shared chunk's inner part."""
+
+
 class WordCoder:
-    """Ids of words by a tokenizer, with a bounded cache."""
+    """Ids of words by a tokenizer, with a bounded cache, and the texts put together from them."""
 
     def __init__(self, spec: str):
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.code = "H" if max(vocabulary.values()) < 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        # without a decoder the library joins the tokens by blanks
+        self.tokens = None
+        if not json.loads(spec)["decoder"]:
+            names = dict(zip(vocabulary.values(), vocabulary))
+            self.tokens = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string())
         self.known: dict[str, bytes] = {}
+        self.packers: dict[int, Callable] = {}
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, self.dtype).tobytes()
+    def _pack(self, ids: list[int]) -> bytes:
+        packer = self.packers.get(len(ids))
+        if packer is None:
+            packer = self.packers[len(ids)] = Struct(f"<{len(ids)}{self.code}").pack
+        return packer(*ids)
 
-    def join(self, items: list[str | bytes]) -> bytes:
+    def learn(self, words: list[str]) -> None:
+        """Afterwards ``known`` has these words."""
         known = self.known
-        return b"".join([known[x] if type(x) is str else x for x in items])
-
-    def ids(self, coded: bytes) -> np.ndarray:
-        return np.frombuffer(coded, self.dtype)
+        if len(known) > WORDS:
+            known.clear()
+            self.packers.clear()
+        new = [w for w in words if w not in known]
+        stopped = [w for w in new if w[-1:] in STOPS and w[-2:-1] in LETTERS]
+        need = set(new).difference(stopped)
+        need.update([w[:-1] for w in stopped])
+        need.update(STOPS)
+        alone = list(need - known.keys())
+        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            known[w] = self._pack(e.ids)
+        for w in stopped:
+            known[w] = known[w[:-1]] + known[w[-1]]
+
+    def encode_part(self, raw: bytes) -> bytes:
+        words = pc.ascii_split_whitespace(pa.array([_text(raw)], pa.large_string())).flatten().to_pylist()
+        self.learn(words)
+        return b"".join([self.known[w] for w in words])
+
+    def encode(self, documents: list[list[bytes]]) -> tuple[pa.ListArray, pa.StringArray]:
+        """Ids and decoded texts of documents given as parts (see ``text_parts``).
+
+        Words are looked up once per batch; everything that is done for each
+        occurrence of a word is done by arrays.
+        """
+        flat = [p for d in documents for p in d]
+        texts = [_text(p) for p in flat if type(p) is not Ids]
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn(distinct)
+        units = [self.known[w] for w in distinct] + [p for p in flat if type(p) is Ids]
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) // self.dtype.itemsize
+
+        # the documents as numbers of units: their words, and shared parts behind the words
+        numbers, counts = coded.indices.to_numpy(), np.diff(words.offsets.to_numpy()).tolist()
+        pieces, ends, text_at, word_at, shared_at, at = [], [], 0, 0, len(distinct), 0
+        for d in documents:
+            for p in d:
+                if type(p) is Ids:
+                    pieces.append(np.array([shared_at], numbers.dtype))
+                    shared_at, at = shared_at + 1, at + 1
+                else:
+                    n = counts[text_at]
+                    pieces.append(numbers[word_at : word_at + n])
+                    text_at, word_at, at = text_at + 1, word_at + n, at + n
+            ends.append(at)
+        order = np.concatenate(pieces)
+        own = sizes[order]
+        id_ends = np.concatenate([[0], np.cumsum(own)])
+        shift = np.concatenate([[0], np.cumsum(sizes)])[order] - id_ends[:-1]
+        ids = np.frombuffer(b"".join(units), self.dtype)[np.repeat(shift, own) + np.arange(id_ends[-1])].astype(np.int32)
+        ends_out = pa.array(id_ends[[0, *ends]], pa.int32())
+        ids_out = pa.ListArray.from_arrays(ends_out, pa.array(ids))
+        if self.tokens is None:
+            decoded = [self.tokenizer.decode(x, skip_special_tokens=False) for x in ids_out.to_pylist()]
+            return ids_out, pa.array(decoded, pa.string())
+        names = pa.ListArray.from_arrays(ends_out, self.tokens.take(pa.array(ids)))
+        return ids_out, pc.binary_join(names, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -145,29 +217,27 @@ def _coder(spec: str) -> WordCoder:
     return _CODERS[name]
 
 
-def _words(raw: bytes) -> list[str]:
-    return [w for w in GAP.split(raw.decode("utf-8", "replace")) if w]
+def _text(raw: bytes) -> str:
+    return raw.decode("utf-8", "replace")
 
 
-def text_items(raw: bytes, shared: dict[bytes, bytes]) -> list[str | bytes]:
-    """A text as words to encode and ids of shared chunks, in order.
+def text_parts(raw: bytes, shared: dict[bytes, bytes]) -> list[bytes]:
+    """A text as runs of bytes to encode and ids of shared inner parts, in order.
 
-    ``shared`` has ids of inner parts by the chunk's SHA-256.  Text between
-    two shared inner parts is the repaired join; it is encoded as a whole.
+    ``shared`` has ids by the chunk's SHA-256.  Text between two shared inner parts
+    is the repaired join; it is encoded as a whole.
     """
-    items: list[str | bytes] = []
+    parts: list[bytes] = []
     done = at = 0
     if shared:
         for chunk in chunks_of(raw):
             part = inner_part(chunk)
-            ids = shared.get(hashlib.sha256(chunk).digest()) if part else None
-            if ids is not None:
-                items += _words(raw[done : at + part[0]])
-                items.append(ids)
+            known = shared.get(hashlib.sha256(chunk).digest()) if part else None
+            if known is not None:
+                parts += [raw[done : at + part[0]], Ids(known)]
                 done = at + part[1]
             at += len(chunk)
-    items += _words(raw[done:])
-    return items
+    return [*parts, raw[done:]]
 
 
 def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,16 +261,13 @@ def _encode_chunks(spec: str) -> Callable:
         for batch in batches:
             for raw, wanted in zip(batch.column("raw").to_pylist(), batch.column("wanted").to_pylist()):
                 wanted = set(wanted)
-                parts = {}
+                ids = {}
                 for chunk in chunks_of(raw):
                     name = hashlib.sha256(chunk).digest()
                     if name in wanted:
                         a, b = inner_part(chunk)
-                        parts[name] = _words(chunk[a:b])
-                coder.learn({w for p in parts.values() for w in p})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(parts), pa.binary()), pa.array([coder.join(p) for p in parts.values()], pa.binary())],
-                    names=["chunk", "ids"])
+                        ids[name] = coder.encode_part(chunk[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()) for c in (ids.keys(), ids.values())], names=["chunk", "ids"])
 
     return run
 
@@ -218,42 +285,30 @@ def _assemble(spec: str) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(spec)
-        last = (None, None, None)  # text, ids, decoded
-
-        def finish(group):
-            nonlocal last
-            coder.learn({x for _, _, items in group if items for x in items if type(x) is str})
-            ids, texts = [], []
-            for _, raw, items in group:
-                if raw != last[0]:
-                    coded = coder.ids(coder.join(items))
-                    last = (raw, coded, coder.tokenizer.decode(coded.tolist(), skip_special_tokens=False))
-                ids.append(last[1])
-                texts.append(last[2])
-            sizes = np.cumsum([0] + [len(i) for i in ids])
-            flat = np.concatenate(ids).astype(np.int32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _, _ in group], pa.int64()), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat)),
-                 pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
+
+        def finish(keys, which, documents):
+            ids, texts = coder.encode(documents)
+            rows = pa.array(which, pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids.take(rows), texts.take(rows)], names=["id", "ids", "decoded"])
 
         for batch in batches:
             unpress = zstandard.ZstdDecompressor()
-            group, size, before = [], 0, last[0]
             columns = [batch.column(c) for c in ("id", "packed", "shared")]
+            keys, which, documents, size, last = [], [], [], 0, None
             for i in range(batch.num_rows):
                 key, packed, shared = (c[i].as_py() for c in columns)
                 raw = unpress.decompress(packed)
-                items = None
-                if raw != before:
-                    items = text_items(raw, {s["chunk"]: s["ids"] for s in shared or ()})
-                before = raw
-                group.append((key, raw, items))
-                size += len(raw)
-                if size >= GROUP:
-                    yield finish(group)
-                    group, size = [], 0
-            if group:
-                yield finish(group)
+                if raw != last:
+                    documents.append(text_parts(raw, {s["chunk"]: s["ids"] for s in shared or ()}))
+                    size += len(raw)
+                    last = raw
+                keys.append(key)
+                which.append(len(documents) - 1)
+                if size >= GROUP or len(keys) >= ROWS:
+                    yield finish(keys, which, documents)
+                    keys, which, documents, size, last = [], [], [], 0, None
+            if keys:
+                yield finish(keys, which, documents)
 
     return run
 
