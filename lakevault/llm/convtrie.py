@@ -140,20 +140,22 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Comma-joined runs of the ids of one key, at most PIECE ids each."""
     key, ids = None, []
 
-    def flush():
+    def rows(found: list) -> pa.RecordBatch:
+        columns = zip(*found) if found else ((), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array([key], pa.binary()), pa.array([ids[0]], pa.int64()), pa.array([",".join(map(str, ids))], pa.string())],
-            names=["key", "first", "text"])
+            [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.string()))], names=["key", "first", "text"])
 
     for batch in batches:
+        found = []
         for k, c in zip(batch.column("key").to_pylist(), batch.column("conv_id").to_pylist()):
             if ids and (k != key or len(ids) == PIECE):
-                yield flush()
+                found.append((key, ids[0], ",".join(map(str, ids))))
                 ids = []
             key = k
             ids.append(c)
+        yield rows(found)
     if ids:
-        yield flush()
+        yield rows([(key, ids[0], ",".join(map(str, ids)))])
 
 
 def _piece_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
