@@ -57,6 +57,7 @@ from lakevault.sources.tables import (
     read_state,
     read_table,
     register_current,
+    scratch_scope,
     scratch_table,
     write_state,
 )
@@ -296,7 +297,7 @@ def current_view(
     hub: DataFrame, general: DataFrame, phone: DataFrame, phone_how: str = "inner", only: DataFrame | None = None
 ) -> DataFrame:
     """Hub with the newest name/address and phone rows (e-mail unused), of the hash keys in ``only`` if given."""
-    return current_entity_view(
+    view = current_entity_view(
         hub,
         [
             SatelliteView(general, {a: a for a in GENERAL_ATTRS}),
@@ -312,6 +313,8 @@ def current_view(
         hd_col=HD,
         only=only,
     )
+    # a customer without a phone row (phone_how="left") has no code either
+    return view.withColumn(PHONE_CODE, F.coalesce(PHONE_CODE, F.lit(CODE_NOT_AVAILABLE)))
 
 
 def dimension_state(dim: DataFrame, view: DataFrame, ctx: LoadContext, classified: Classified | None = None) -> DataFrame:
@@ -328,9 +331,10 @@ def run_concurrently(jobs: dict) -> dict:
     """Run independent Spark actions from driver threads (the scheduler
     interleaves their tasks); re-raises the first failure."""
     from concurrent.futures import ThreadPoolExecutor
+    from contextvars import copy_context
 
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        futures = {name: pool.submit(copy_context().run, fn) for name, fn in jobs.items()}
         return {name: fut.result() for name, fut in futures.items()}
 
 
@@ -558,6 +562,15 @@ def load_snapshot(
     ``pit`` (only customers with new rows, see ``plans/incremental.py``); a
     lake stays with the mode it began with.
     """
+    with scratch_scope(spark):
+        return _load_snapshot(
+            spark, snapshot, paths, ctx, sep, buckets, table_prefix, register_tables, mode, phone_how, gold)
+
+
+def _load_snapshot(
+    spark: SparkSession, snapshot: DataFrame, paths: LakePaths, ctx: LoadContext, sep: str, buckets: int | None,
+    table_prefix: str, register_tables: bool, mode: str, phone_how: str, gold: str,
+) -> dict:
     silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.select(*EXTRACT_COLUMNS, *filter(None, [_lineage(snapshot)])).persist(StorageLevel.MEMORY_AND_DISK)

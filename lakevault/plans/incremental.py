@@ -70,9 +70,7 @@ def current_of_pit(pit: DataFrame, phone_how: str = "inner") -> DataFrame:
     """The customers' current view as a projection of point-in-time rows."""
     code = F.col(f"phone_{cust.PHONE_CODE}")
     columns = {a: F.col(f"general_{a}") for a in cust.GENERAL_ATTRS}
-    present = F.col(f"phone_{cust.LOAD}").isNotNull()
-    columns[cust.PHONE_CODE] = F.when(
-        present, F.coalesce(default_if_blank(code, cust.CODE_NOT_AVAILABLE), F.lit(cust.CODE_NOT_AVAILABLE)))
+    columns[cust.PHONE_CODE] = F.coalesce(default_if_blank(code, cust.CODE_NOT_AVAILABLE), F.lit(cust.CODE_NOT_AVAILABLE))
     return pit_view(pit, PIT_LAYOUT, columns, ("general", "phone") if phone_how == "inner" else ("general",))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.sources.tables import TableSpec, _missing, conform, empty_frame, scratch_table, write_observed
+from lakevault.sources.tables import ConcurrentWriteError, TableSpec, _missing, conform, empty_frame, scratch_table, write_observed
 
 PART = "part"
 ANNOUNCED, DONE = "announced", "done"
@@ -92,6 +92,7 @@ class KeyedTable:
         """
         spark = rows.sparkSession
         state = self.state(spark)
+        run = self._log(spark).get(DONE, (0, None))[0] + 1
         path = scratch_table(spark, self.spec.name)
         seen = write_observed(
             lambda df: df.write.parquet(path), self.typed(rows),
@@ -101,7 +102,6 @@ class KeyedTable:
         state.update(facts or {})
         if greatest and seen["top"] is not None:
             state[greatest] = max(int(seen["top"]), state.get(greatest, int(seen["top"])))
-        run = self._log(spark).get(DONE, (0, None))[0] + 1
         if not touched:
             self._note(spark, run, DONE, json.dumps(state))
             return []
@@ -109,6 +109,8 @@ class KeyedTable:
         new = spark.read.schema(schema).parquet(path)
         kept = self.read(spark, touched).join(new.select(*self.key), list(self.key), "left_anti").withColumn(PART, self.part_of())
         self._laid_out(kept.unionByName(new)).write.mode("overwrite").parquet(self._folder("_next"))
+        if self._log(spark).get(DONE, (0, None))[0] + 1 != run:
+            raise ConcurrentWriteError(f"{self.path}: another upsert was faster; run the load again")
         self._note(spark, run, ANNOUNCED, json.dumps(state))
         self._publish(spark, run, json.dumps(state))
         return touched

@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -289,6 +291,7 @@ def write_state(
     interrupted earlier attempt are never mixed into the new version.  With
     ``bucketing`` the version is written as a bucketed table (one file per
     bucket) in its own ``version=N`` folder; the commit row records it.
+    A version isn't committed if another run committed one meanwhile.
     """
     spark = df.sparkSession
     version = (previous_version or 0) + 1
@@ -306,6 +309,8 @@ def write_state(
             .option("path", _version_dir(path, version))
             .saveAsTable(f"{bucketing.table}_v{version}")
         )
+    if current_version(spark, path) != previous_version:
+        raise ConcurrentWriteError(f"{path}: version {previous_version} isn't the current one any more; run the load again")
     commit = spark.range(1).select(
         F.lit(version).cast("int").alias(VERSION_COL),
         F.lit(bucketing.num_buckets if bucketing else None).cast("int").alias("buckets"),
@@ -315,11 +320,36 @@ def write_state(
     return version
 
 
+_SCOPE: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
 def scratch_table(spark: SparkSession, label: str) -> str:
     """A new folder for an intermediate table, under the session's shared checkpoint folder."""
     from lakevault.session import ensure_checkpoint_dir
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{label}-{uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{_SCOPE.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end.
+
+    For actions only: no frame that reads such a table may be used afterwards.
+    """
+    from lakevault.session import ensure_checkpoint_dir
+
+    name = f"run-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(name)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/materialized/{name}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+class ConcurrentWriteError(RuntimeError):
+    """Another run changed the table since this one read it."""
 
 
 def write_observed(write: Callable[[DataFrame], None], df: DataFrame, **metrics: Column) -> dict:

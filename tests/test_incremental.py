@@ -172,3 +172,45 @@ def test_gold_runs_few_jobs(spark, scratch):
     assert found.max_id == view.count()
     broadcasts = sum(1 for _ in jobs) - 1
     assert broadcasts <= 2  # the write's own job; broadcast sides run as jobs too
+
+
+def test_two_writers_of_one_table(spark, scratch, monkeypatch):
+    """The slower of two runs that read the same state doesn't overwrite the faster one's rows."""
+    from lakevault.sources import keyed
+    from lakevault.sources.tables import ConcurrentWriteError, read_state, write_state
+
+    t = KeyedTable(SPEC, f"{scratch}/kv", ("k",), 4)
+    t.upsert(spark.range(5).selectExpr("id AS k", "'old' AS v"))
+    plain, racing = keyed.write_observed, []
+
+    def slow(write, df, **metrics):
+        if not racing:
+            racing.append(1)
+            t.upsert(spark.createDataFrame([(1, "faster")], "k int, v string"))
+        return plain(write, df, **metrics)
+
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "write_observed", slow)
+        with pytest.raises(ConcurrentWriteError):
+            t.upsert(spark.createDataFrame([(1, "slower")], "k int, v string"))
+    assert {r.k: r.v for r in t.read(spark).collect()}[1] == "faster"
+
+    state, version = read_state(spark, SPEC, f"{scratch}/versions")
+    first = spark.createDataFrame([(1, "a")], "k int, v string")
+    write_state(first, SPEC, f"{scratch}/versions", version)
+    with pytest.raises(ConcurrentWriteError):
+        write_state(first, SPEC, f"{scratch}/versions", version)
+    assert read_state(spark, SPEC, f"{scratch}/versions")[1] == 1
+
+
+def test_a_load_leaves_no_intermediate_tables(spark, scratch):
+    import os
+
+    from lakevault.session import ensure_checkpoint_dir
+
+    customer_bronze_two_days(spark, SF_SMALL).write.partitionBy("año", "mes", "dia").parquet(f"{scratch}/bronze")
+    folder = f"{ensure_checkpoint_dir(spark)}/materialized"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for gold in ("full", *inc.MODES):
+        cust.run_customer_load(spark, lake(scratch, gold), PIPELINE_RUNS[0][1], "s", PIPELINE_RUNS[0][0], PIPELINE_LOOKBACK, gold=gold)
+    assert set(os.listdir(folder)) == before

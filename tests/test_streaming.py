@@ -52,3 +52,29 @@ def test_two_snapshots_in_one_micro_batch_load_in_date_order(spark, scratch):
     batched, v2 = read_state(spark, cust.DIM_SPEC_TABLE, batch_paths.dim)
     assert v1 == v2 == 2
     assert rows(streamed) == rows(batched)
+
+
+def test_stream_takes_the_options_of_the_batch_load_and_stores_rejects(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import functions as F
+
+    bronze = customer_bronze_two_days(spark, SF_SMALL)
+    bad = bronze.filter("dia = 20").withColumn("mes", F.lit(13))
+    bronze.unionByName(bad).write.partitionBy("año", "mes", "dia").parquet(f"{scratch}/bronze")
+    names = ("hub", "general", "phone", "email", "dim")
+    streamed = cust.LakePaths(f"{scratch}/bronze", *[f"{scratch}/s_{n}" for n in names])
+    batch = cust.LakePaths(f"{scratch}/bronze", *[f"{scratch}/b_{n}" for n in names])
+    options = dict(phone_how="left", mode="latest", gold="changes")
+    q = customer_snapshot_stream(
+        spark, streamed, bronze.schema, f"{scratch}/ckpt", "s", rejects=f"{scratch}/rejects", **options)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    for day in (19, 20):
+        cust.run_customer_load(spark, batch, f"2024-01-{day} 00:00:00", "s", f"2024-01-{day}", 0, **options)
+    assert rows(cust.read_dimension(spark, streamed, "changes")) == rows(cust.read_dimension(spark, batch, "changes"))
+    assert spark.read.parquet(f"{scratch}/rejects").count() == bad.count()
+    # without a place for them, rows without a date stop the stream
+    other = cust.LakePaths(f"{scratch}/bronze", *[f"{scratch}/o_{n}" for n in names])
+    with pytest.raises(StreamingQueryException):
+        customer_snapshot_stream(spark, other, bronze.schema, f"{scratch}/ckpt2", "s").awaitTermination(600)
