@@ -152,7 +152,7 @@ class WordCoder:
         need = set(new).difference(stopped)
         need.update([w[:-1] for w in stopped])
         need.update(STOPS)
-        alone = list(need - known.keys())
+        alone = [w for w in need if w not in known]
         for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             known[w] = self._pack(e.ids)
         for w in stopped:
