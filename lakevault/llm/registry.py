@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from lakevault.llm import chunkbpe, convtrie, filteraudit, mixing, neardup, pieces, pii, quality, secrets, suffixdedup, topk, toxicity, warc
 
 LLM_QUERIES = {
-    "pipeline": corpus_pipeline.run,
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_minhash_components": neardup.op3_minhash_components,

@@ -11,8 +11,10 @@ its gradient is followed upwards).  MODELS classifiers see different parts
 of U; the score is their mean probability.
 
 Labels of rows with crc32(id) mod 3 = 1 are never read: they are held out.
-The sample is bounded: POSITIVES and UNLABELLED texts with the smallest id
-hashes, FEATURES distinct words in all; the prior is the share of toxic rows
+The sample is bounded by three parameters of ``train``: ``positives`` and
+``unlabelled`` texts with the smallest id hashes, and ``features`` distinct words in all (texts
+are taken in the order of their hashes, so toxic and unlabelled ones alike, until there are that many);
+the prior is the share of toxic rows
 among all other labels.  Scoring covers every whole text.
 
 Edge cases: NULL and empty texts get the score of no words; a NULL id is held
@@ -168,7 +170,7 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Classifier:
+          positives: int = POSITIVES, unlabelled: int = UNLABELLED, features: int = FEATURES) -> Classifier:
     """Fit on the bounded sample; see the module docstring."""
     seen = labels.select(F.col("doc_id"), F.col(label_col).alias("y")).filter(~held_out(F.col("doc_id")) & F.col("y").isNotNull() & F.col("doc_id").isNotNull())
     n, toxic = seen.agg(F.count(F.lit(1)), F.sum((F.col("y") == 1).cast("long"))).first()
@@ -186,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size = 0
     for r in rows.orderBy("h", "positive").toLocalIterator():
         size += len(r["words"]) // 8
-        if size > FEATURES:
+        if size > features:
             break
         sample[r["positive"]].append(np.frombuffer(r["words"], np.uint64))
     return fit(sample[True], sample[False], prior)
