@@ -24,7 +24,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -283,14 +285,14 @@ def all_spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list
     """(base spans, base and added spans), each by kind, then start."""
     base = base_spans(text)
     taken = sorted((a, b) for _, a, b in base)
-    added, at = [], 0
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    added = []
     for lo, hi in regions(text):
         toks, segs = candidates(text, lo, hi)
         for k, i, j in field.best(len(toks), segs) if segs else ():
             a, b = toks[i][0], toks[j - 1][1]
-            while at < len(taken) and taken[at][1] <= a:
-                at += 1
-            if not any(x < b and a < y for x, y in taken[max(0, at - 4) : at + 8]):
+            before = bisect_left(starts, b)  # base spans that begin before this one ends
+            if not before or reach[before - 1] <= a:
                 added.append((k, a, b))
     return base, sorted(base + added)
 

@@ -225,3 +225,16 @@ def test_tokens_of_awkward_rows(spark, vocabulary):
     back = {r.doc_id: r.text for r in pieces.decode_documents(coded, vocabulary).collect()}
     assert back[13] == next(r[1] for r in awkward_rows() if r[0] == 13) and back[6] == ""
     assert pieces.token_digests(empty(spark), vocabulary).count() == 0
+
+
+def test_added_spans_never_cross_base_spans(spark):
+    """However many base spans lie around an added one."""
+    rng = random.Random(12)
+    bits = ["10.1.2.3", "4111 1111 1111 1111", "+1 (743) 555-3824", "a.b@c.example.org", "1.2.3.4.5.6", "4111-1111-1111-1111-22", "+49 30 1234567"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randint(1, 120))) for _ in range(60)]
+    field = pii.fit(texts[:20])
+    for text in texts:
+        base, spans = pii.all_spans(text, field)
+        assert set(base) <= set(spans)
+        for k, a, b in set(spans) - set(base):
+            assert all(b <= x or y <= a for _, x, y in base)
