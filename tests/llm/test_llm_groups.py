@@ -274,3 +274,61 @@ def test_loser_tree_merges_any_number_of_runs():
     for k in range(0, 9):
         runs = [sorted(rng.randint(0, 20) for _ in range(rng.randint(0, 12))) for _ in range(k)]
         assert list(warc.LoserTree(runs, lambda x: x)) == sorted(x for r in runs for x in r)
+
+
+def test_archives_of_any_member_layout(spark, scratch):
+    """One member a record, all records in one, a mixture, padding: the same records, each found at its place."""
+    import gzip
+
+    pages = spark.createDataFrame([(i, f"http://x.example/{i}", "text %d " % i * (i * 400)) for i in range(9)], "page_id bigint, url string, html string")
+    path = warc.write_archives(warc.prepare_records(pages.coalesce(1)), f"{scratch}/w", records_per_file=100)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+    data = max((bytes(f.content) for f in files), key=len)
+    records = [gzip.decompress(data)[p : p + n] for p, n in _places(gzip.decompress(data))]
+    assert len(records) == 9
+    layouts = [
+        data,
+        gzip.compress(b"".join(records)),
+        gzip.compress(b"".join(records[:4])) + b"".join(gzip.compress(r) for r in records[4:]) + b"\0" * 700,
+        b"".join(gzip.compress(r) for r in records),
+    ]
+    for layout in layouts:
+        found = list(warc.parse_archive(layout))
+        assert [x[5] for x in found] == [("text %d " % i * (i * 400)).encode() for i in range(9)]
+        for offset, length, inner, headers, _, payload in found:
+            assert warc.fetch_record(layout[offset : offset + length], inner) == (headers, payload)
+    assert all(inner == 0 for _, _, inner, *_ in warc.parse_archive(layouts[3]))
+    assert sum(x[1] for x in warc.parse_archive(layouts[3])) == len(layouts[3])
+    with pytest.raises(ValueError):
+        list(warc.parse_archive(layouts[3][:-20]))
+
+
+def _places(stream):
+    at = 0
+    while at < len(stream):
+        end = stream.index(b"\r\n\r\n", at)
+        size = end - at + 8 + int(re.search(rb"Content-Length: (\d+)\r\n\r\n", stream[at : end + 4])[1])
+        yield at, size
+        at += size
+
+
+def test_archives_are_bounded_by_bytes(spark, scratch):
+    rng = random.Random(2)
+    pages = spark.createDataFrame([(i, None, "".join(rng.choice("abcdefgh") for _ in range(4000))) for i in range(60)], "page_id bigint, url string, html string")
+    path = warc.write_archives(warc.prepare_records(pages.coalesce(1)), f"{scratch}/w", bytes_per_file=20_000)
+    sizes = [f.length for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    assert len(sizes) > 3 and max(sizes) < 25_000
+    assert warc.read_captures(spark, path).count() == 60
+
+
+def test_a_range_larger_than_memory_merges_from_files(spark):
+    rng = random.Random(8)
+    rows = [(f"k{rng.randint(0, 40)}", "t", i, f"f{i % 7}", i, 1, 0, "response", "d", 1, None, True) for i in range(900)]
+    runs = sorted(rows, key=lambda r: (r[3], warc._sort_key(r)))
+    store = warc.RunStore(100)
+    for r in runs:
+        store.add(r)
+    assert store.spilled >= 7 and store.rows <= 100
+    assert list(store.merged()) == sorted(rows, key=warc._sort_key)
+    merged = warc.merge_runs(spark.createDataFrame(runs, warc.CAPTURES).repartition(4), rows_per_range=500, merge_rows=60).collect()
+    assert [tuple(r) for r in merged] == sorted(rows, key=warc._sort_key)
