@@ -7,6 +7,7 @@ driver's parquet tables.
 
 from __future__ import annotations
 
+from lakevault.plans.customer import CODE_NOT_AVAILABLE, NOT_DEFINED, NOT_RECORDED, STATE_NOT_RECORDED
 from lakevault.plans.queries import (
     DIM_OLD_TS,
     HUB_OLD_TS,
@@ -42,11 +43,11 @@ fx AS (
 def _clean(prefix: str = "") -> str:
     p = prefix
     return f"""
-    coalesce(nullif(trim({p}first_name), ''), 'No Registra') AS Nombre,
-    coalesce(nullif(trim({p}last_name), ''), 'No Registra') AS Apellido,
-    coalesce(nullif(trim({p}street), ''), 'No Registra') AS CalleUbicacion,
-    coalesce(nullif(trim({p}city), ''), 'No Registra') AS CiudadUbicacion,
-    coalesce(nullif(trim({p}state), ''), 'N/R') AS CodigoEstadoUbicacion,
+    coalesce(nullif(trim({p}first_name), ''), '{NOT_RECORDED}') AS Nombre,
+    coalesce(nullif(trim({p}last_name), ''), '{NOT_RECORDED}') AS Apellido,
+    coalesce(nullif(trim({p}street), ''), '{NOT_RECORDED}') AS CalleUbicacion,
+    coalesce(nullif(trim({p}city), ''), '{NOT_RECORDED}') AS CiudadUbicacion,
+    coalesce(nullif(trim({p}state), ''), '{STATE_NOT_RECORDED}') AS CodigoEstadoUbicacion,
     coalesce(CASE WHEN {p}zip_code <= 0 THEN NULL ELSE {p}zip_code END, -1) AS CodigoPostalUbicacion"""
 
 
@@ -153,14 +154,14 @@ p AS (
 ),
 v1 AS (
   SELECT g.customer_id, g.Nombre, g.Apellido, g.CalleUbicacion, g.CiudadUbicacion, g.CodigoEstadoUbicacion,
-         g.CodigoPostalUbicacion, CASE WHEN p.code = '' THEN '(N/D)' ELSE p.code END AS code
+         g.CodigoPostalUbicacion, CASE WHEN p.code = '' THEN '{CODE_NOT_AVAILABLE}' ELSE p.code END AS code
   FROM g JOIN p ON g.customer_id = p.customer_id AND g.day = 1 AND p.day = 1
 ),
 gl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY day DESC) AS rn FROM g) WHERE rn = 1),
 pl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY day DESC) AS rn FROM p) WHERE rn = 1),
 v2 AS (
   SELECT gl.customer_id, gl.Nombre, gl.Apellido, gl.CalleUbicacion, gl.CiudadUbicacion, gl.CodigoEstadoUbicacion,
-         gl.CodigoPostalUbicacion, CASE WHEN pl.code = '' THEN '(N/D)' ELSE pl.code END AS code
+         gl.CodigoPostalUbicacion, CASE WHEN pl.code = '' THEN '{CODE_NOT_AVAILABLE}' ELSE pl.code END AS code
   FROM gl JOIN pl ON gl.customer_id = pl.customer_id
 ),
 dim1 AS (SELECT row_number() OVER (ORDER BY customer_id) AS id, v1.*, '{t1}' AS ts FROM v1),
@@ -190,7 +191,7 @@ final AS (
          CodigoPostalUbicacion, code, '{t2}'
   FROM v2 WHERE customer_id NOT IN (SELECT customer_id FROM dim1)
   UNION ALL
-  SELECT -1, -1, 'No Definido', 'No Definido', 'No Definido', 'No Definido', '(N/D)', -1, '(N/D)', '{t1}'
+  SELECT -1, -1, '{NOT_DEFINED}', '{NOT_DEFINED}', '{NOT_DEFINED}', '{NOT_DEFINED}', '{CODE_NOT_AVAILABLE}', -1, '{CODE_NOT_AVAILABLE}', '{t1}'
 )
 SELECT CAST(id AS INTEGER) AS DimClienteId, CAST(customer_id AS INTEGER) AS LlaveNegocioIdCliente,
        Nombre, Apellido, CalleUbicacion, CiudadUbicacion, CodigoEstadoUbicacion,
@@ -233,7 +234,7 @@ def _stage_email() -> str:
     return f"""
 WITH {FIXTURE.strip()},
 c AS (
-  SELECT coalesce(customer_id, -1) AS k, coalesce(email, 'No Definido') AS e
+  SELECT coalesce(customer_id, -1) AS k, coalesce(email, '{NOT_DEFINED}') AS e
   FROM fx WHERE email IS NOT NULL OR email <> 'NULL'
 )
 SELECT DISTINCT sha256(CAST(k AS VARCHAR)) AS Hk_Clientes, sha256(concat_ws({SEP}, CAST(k AS VARCHAR), e)) AS Hk_Diff,
@@ -305,11 +306,11 @@ FROM customer
     "clean_attributes": f"""
 WITH {FIXTURE.strip()}
 SELECT c_custkey, customer_id,
-  coalesce(nullif(trim(first_name), ''), 'No Registra') AS first_name,
-  coalesce(nullif(trim(last_name), ''), 'No Registra') AS last_name,
-  coalesce(nullif(trim(street), ''), 'No Registra') AS street,
-  coalesce(nullif(trim(city), ''), 'No Registra') AS city,
-  coalesce(nullif(trim(state), ''), 'N/R') AS state,
+  coalesce(nullif(trim(first_name), ''), '{NOT_RECORDED}') AS first_name,
+  coalesce(nullif(trim(last_name), ''), '{NOT_RECORDED}') AS last_name,
+  coalesce(nullif(trim(street), ''), '{NOT_RECORDED}') AS street,
+  coalesce(nullif(trim(city), ''), '{NOT_RECORDED}') AS city,
+  coalesce(nullif(trim(state), ''), '{STATE_NOT_RECORDED}') AS state,
   coalesce(CASE WHEN zip_code <= 0 THEN NULL ELSE zip_code END, -1) AS zip_code
 FROM fx
 """,
