@@ -26,9 +26,10 @@ more; the classes are the connected components.
 
 Edge cases: NULL or blank texts have an empty set and are linked with
 nothing; NULL ids aren't linked by ``near_duplicates`` (component NULL, kept),
-to ``drop_near_duplicates`` each such row is a document of its own; rows that
-repeat an id are one document that is linked by each of its texts, and stay or
-go together; an empty table gives no rows; extra columns are ignored by
+and rows that repeat an id are one document to it, linked by each of its texts.  To
+``drop_near_duplicates`` each row without an id of its own is a document of its
+own, so of a row that came twice one stays, and a different text under the same id stays too.
+An empty table gives no rows; extra columns are ignored by
 ``near_duplicates`` and kept by ``drop_near_duplicates``.
 """
 
@@ -380,14 +381,19 @@ def keys_without_id(least: int | None, greatest: int | None, rows: int) -> int:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each class, with all columns: the one of the smallest id, or any row if none has an id."""
+    """One document of each class, with all columns: the one of the smallest id that no other row has, or any row if there is none."""
     key = F.col(id_col).cast("bigint")
     ids = docs.agg(F.min(key).alias("least"), F.max(key).alias("greatest"), F.count_if(key.isNull()).alias("without")).first()
-    named = docs
-    if ids["without"]:
-        named = docs.filter(key.isNotNull())
-        # a row without an id is a document of its own; numbered in a table, so that a task run again finds the same keys
-        lone = staged(docs.filter(key.isNull()).select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "without-id")
+    again = staged(docs.filter(key.isNotNull()).groupBy(key.alias("_again")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated-ids")
+    repeated = not again.isEmpty()
+    named, lone = docs.filter(key.isNotNull()), docs.filter(key.isNull())
+    if repeated:
+        lone = lone.union(named.join(again, key == F.col("_again"), "left_semi"))
+        named = named.join(again, key == F.col("_again"), "left_anti")
+    alone = bool(ids["without"]) or repeated
+    if alone:
+        # a row without an id of its own is a document of its own; numbered in a table, so that a task run again finds the same keys
+        lone = staged(lone.select(F.monotonically_increasing_id().alias("n"), F.struct("*").alias("row")), "without-id")
         first = keys_without_id(ids["least"], ids["greatest"], lone.agg(F.max("n")).first()[0] + 1)
         lone = lone.select((F.col("n") + F.lit(first)).alias("key"), "row")
         texts = named.select(key.alias("doc_id"), F.col(text_col).alias("text")).union(lone.select("key", f"row.{text_col}"))
@@ -396,7 +402,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, i
         found = near_duplicates(docs, shingle, percent, id_col, text_col)
     gone = staged(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "copies")
     out = named.join(gone, F.col(id_col) == gone["_gone"], "left_anti")
-    return out.union(lone.join(gone, F.col("key") == gone["_gone"], "left_anti").select("row.*")) if ids["without"] else out
+    return out.union(lone.join(gone, F.col("key") == gone["_gone"], "left_anti").select("row.*")) if alone else out
 
 
 def op3_minhash_components(spark, sf_dir: str) -> DataFrame:
