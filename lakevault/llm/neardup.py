@@ -407,3 +407,21 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, i
 
 def op3_minhash_components(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+# pairs that share a shingle, their overlap counted, then everything that can be reached
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS gs
+      FROM w),
+s AS (SELECT doc_id, len(gs) AS n, unnest(gs) AS x FROM g),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(len(gs) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM g JOIN c USING (doc_id)
+"""

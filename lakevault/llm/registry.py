@@ -21,6 +21,8 @@ LLM_QUERIES = {
 }
 
 LLM_SQL = {
+    "op1_suffix_dedup": suffixdedup.OP1_SQL,
+    "op3_minhash_components": neardup.OP3_SQL,
     "op4_source_mixing": mixing.OP4_SQL,
     "op5_bit_sliced_topk": topk.OP5_SQL,
     "op6_quality_rules": quality.OP6_SQL,

@@ -305,3 +305,23 @@ def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
                       F.coalesce("kept_sha256", "sha").alias("kept_sha256"))
+
+
+# every window of 200 bytes as hexadecimal digits, cut out of pieces of 512 starts
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+c AS (SELECT doc_id, o, substr(h, 2 * o + 1, 1422) AS piece FROM (SELECT doc_id, h, unnest(range(0, n - 199, 512)) AS o FROM d WHERE n >= 200)),
+w AS (SELECT doc_id, o + j AS p, substr(piece, 2 * j + 1, 400) AS x
+      FROM (SELECT doc_id, o, piece, unnest(range(0, least(512, length(piece) // 2 - 199))) AS j FROM c)),
+t AS (SELECT doc_id, p FROM w WHERE x IN (SELECT x FROM w GROUP BY x HAVING count(*) > 1)),
+o AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200 THEN 0 ELSE 1 END AS opens FROM t),
+i AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM o),
+r AS (SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM r),
+q AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+             string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) AS head
+      FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN q.doc_id IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN q USING (doc_id)
+"""
