@@ -209,10 +209,11 @@ def _lineage(snapshot: DataFrame) -> str | None:
     return SOURCE_FILE if SOURCE_FILE in snapshot.columns else None
 
 
-def hub_rows(snapshot: DataFrame, hub: DataFrame, ctx: LoadContext) -> DataFrame:
+def hub_rows(snapshot: DataFrame, hub: DataFrame, ctx: LoadContext, selective: bool = False) -> DataFrame:
     """New hub rows: non-null ``customer_id`` values not in the hub yet."""
     return hub_new_rows(
-        snapshot, hub, {BK: F.col("customer_id")}, ctx, hk_col=HK, load_col=LOAD, source_col=SOURCE, lineage=_lineage(snapshot)
+        snapshot, hub, {BK: F.col("customer_id")}, ctx, hk_col=HK, load_col=LOAD, source_col=SOURCE, lineage=_lineage(snapshot),
+        selective=selective,
     )
 
 
@@ -493,6 +494,7 @@ def run_customer_load(
     mode: str = "ever_seen",
     phone_how: str = "inner",
     gold: str = "full",
+    selective: bool = False,
     bronze_schema: T.StructType | None = None,
     lineage: bool = False,
     rejects: str | None = None,
@@ -533,7 +535,7 @@ def run_customer_load(
     summary.update(
         load_snapshot(
             spark, snapshot, paths, ctx, sep=sep, buckets=buckets, table_prefix=table_prefix,
-            register_tables=register_tables, mode=mode, phone_how=phone_how, gold=gold,
+            register_tables=register_tables, mode=mode, phone_how=phone_how, gold=gold, selective=selective,
         )
     )
     return summary
@@ -551,6 +553,7 @@ def load_snapshot(
     mode: str = "ever_seen",
     phone_how: str = "inner",
     gold: str = "full",
+    selective: bool = False,
 ) -> dict:
     """All five loads for one chosen snapshot (silver appends, gold version).
 
@@ -560,22 +563,23 @@ def load_snapshot(
     satellites' comparison, ``phone_how`` the dimension's join with phones.
     ``gold`` is ``full`` (the whole dimension, a new version), ``changes`` or
     ``pit`` (only customers with new rows, see ``plans/incremental.py``); a
-    lake stays with the mode it began with.
+    lake stays with the mode it began with.  ``selective`` probes the hub for
+    the extract's keys only: for extracts that hold few customers.
     """
     with scratch_scope(spark):
         return _load_snapshot(
-            spark, snapshot, paths, ctx, sep, buckets, table_prefix, register_tables, mode, phone_how, gold)
+            spark, snapshot, paths, ctx, sep, buckets, table_prefix, register_tables, mode, phone_how, gold, selective)
 
 
 def _load_snapshot(
     spark: SparkSession, snapshot: DataFrame, paths: LakePaths, ctx: LoadContext, sep: str, buckets: int | None,
-    table_prefix: str, register_tables: bool, mode: str, phone_how: str, gold: str,
+    table_prefix: str, register_tables: bool, mode: str, phone_how: str, gold: str, selective: bool,
 ) -> dict:
     silver = SilverTables(spark, paths, buckets, table_prefix, register_tables)
     # one day's extract feeds four loads: keep it instead of re-reading it
     snapshot = snapshot.select(*EXTRACT_COLUMNS, *filter(None, [_lineage(snapshot)])).persist(StorageLevel.MEMORY_AND_DISK)
     new_rows = {
-        "hub": lambda: hub_rows(snapshot, silver.read("hub"), ctx),
+        "hub": lambda: hub_rows(snapshot, silver.read("hub"), ctx, selective),
         "general": lambda: general_rows(snapshot, silver.read("general"), ctx, mode, sep),
         "phone": lambda: phone_rows(snapshot, silver.read("phone"), ctx, mode, sep),
         "email": lambda: email_rows(snapshot, silver.read("email"), ctx, mode, sep),
@@ -585,7 +589,8 @@ def _load_snapshot(
             from lakevault.plans.incremental import load_incremental
 
             run_concurrently({"email": lambda: silver.append("email", new_rows["email"]())})
-            return load_incremental(spark, silver, paths, ctx, new_rows, gold, phone_how)
+            view_name = f"{table_prefix}{DIM_TABLE}" if register_tables else None
+            return load_incremental(spark, silver, paths, ctx, new_rows, gold, phone_how, view_name)
         # the four silver loads are independent jobs: submit them together
         run_concurrently({name: (lambda name=name: silver.append(name, new_rows[name]())) for name in new_rows})
     finally:

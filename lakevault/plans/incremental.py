@@ -88,12 +88,18 @@ def changed_view(
 
 def load_incremental(
     spark: SparkSession, silver: cust.SilverTables, paths: cust.LakePaths, ctx: LoadContext, new_rows: dict, gold: str,
-    phone_how: str = "inner",
+    phone_how: str = "inner", view_name: str | None = None,
 ) -> dict:
-    """Silver appends through the change log, then the dimension's changed rows."""
+    """Silver appends through the change log, then the dimension's changed rows.
+
+    ``view_name`` is the dimension's name in the catalog, if it is to have one.
+    """
     log = change_log(spark, paths, silver)
     upto = log.load(spark, {n: new_rows[n] for n in TRACKED}, cust.run_concurrently)
-    return update_dimension(spark, silver, paths, ctx, log, upto, gold, phone_how)
+    out = update_dimension(spark, silver, paths, ctx, log, upto, gold, phone_how)
+    if view_name:
+        dimension_table(paths).register_view(spark, view_name)
+    return out
 
 
 def update_dimension(

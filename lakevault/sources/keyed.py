@@ -115,6 +115,12 @@ class KeyedTable:
         self._publish(spark, run, json.dumps(state))
         return touched
 
+    def register_view(self, spark: SparkSession, name: str) -> None:
+        """A catalog view by that name; it lists the folders when it is read, so it stays current."""
+        cols = ", ".join(f"CAST(`{c.name}` AS {c.dtype.simpleString()}) AS `{c.name}`" for c in self.spec.columns)
+        folder = self._folder("data").replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS SELECT {cols} FROM parquet.`{folder}`", args={"name": name})
+
     def _publish(self, spark: SparkSession, run: int, facts: str) -> None:
         schema = T.StructType([*self.spec.schema.fields, T.StructField(PART, T.IntegerType())])
         rows = spark.read.schema(schema).parquet(self._folder("_next"))
