@@ -69,11 +69,12 @@ def shapley_operator(m: int) -> list[list[int]]:
 def text_failures(text: Column) -> list[Column]:
     """Conditions A to D over a text that isn't NULL."""
     words = words_of(text)
-    capitals = F.char_length(text) - F.char_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    n_words, n_chars = F.size(words).cast("long"), F.char_length(text).cast("long")
+    capitals = n_chars - F.char_length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
     return [
-        F.size(words) < 200,
-        100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
-        100 * capitals > 3 * F.char_length(text),
+        n_words < 200,
+        100 * F.size(F.array_distinct(words)).cast("long") < 50 * n_words,
+        100 * capitals > 3 * n_chars,
         text.rlike("[#$%&*|]"),
     ]
 

@@ -131,23 +131,34 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     return Classifier(words[top], weights[:, top], np.array(biases))
 
 
+def risk_and_gradient(z: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
+    """What is minimised, and its gradient, for the texts' scores ``z``; ``p`` and ``u`` mark toxic and unlabelled texts.
+
+    If the corrected part of the risk is below zero, it alone is followed upwards.
+    """
+    n_p, n_u = max(1, p.sum()), max(1, u.sum())
+    s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    soft = np.logaddexp(0, z)
+    rest = soft[u].sum() / n_u - prior * soft[p].sum() / n_p
+    g = np.zeros(len(z))
+    if rest >= 0:
+        g[p] = prior * (s[p] - 1) / n_p - prior * s[p] / n_p
+        g[u] = s[u] / n_u
+        return prior * (soft[p] - z[p]).sum() / n_p + rest, g
+    # below zero: undo the overfit part
+    g[p] = prior * s[p] / n_p
+    g[u] = -s[u] / n_u
+    return -rest, g
+
+
 def _minimise(text, at, p, u, n_words: int, prior: float, steps: int) -> tuple[np.ndarray, float]:
-    n, n_p, n_u = len(p), max(1, p.sum()), max(1, u.sum())
+    n, n_p = len(p), max(1, p.sum())
     w = np.zeros(n_words + 1)
     w[-1] = np.log(prior / (1 - prior))
     m1, m2 = np.zeros(n_words + 1), np.zeros(n_words + 1)
     for t in range(1, steps + 1):
         z = np.bincount(text, w[at], n) + w[-1]
-        s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        soft = np.logaddexp(0, z)
-        rest = soft[u].sum() / n_u - prior * soft[p].sum() / n_p
-        g = np.zeros(n)
-        if rest >= 0:
-            g[p] = prior * (s[p] - 1) / n_p - prior * s[p] / n_p
-            g[u] = s[u] / n_u
-        else:  # below zero: undo the overfit part
-            g[p] = prior * s[p] / n_p
-            g[u] = -s[u] / n_u
+        _, g = risk_and_gradient(z, p, u, prior)
         grad = np.append(np.bincount(at, g[text], n_words), g.sum())
         grad[:-1] += DECAY / n_p * w[:-1]
         m1 = 0.9 * m1 + 0.1 * grad

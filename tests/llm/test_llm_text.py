@@ -238,3 +238,23 @@ def test_added_spans_never_cross_base_spans(spark):
         assert set(base) <= set(spans)
         for k, a, b in set(spans) - set(base):
             assert all(b <= x or y <= a for _, x, y in base)
+
+
+@pytest.mark.parametrize("shift", [0.0, 6.0])  # 6.0: toxic texts score so high that the corrected part is below zero
+def test_gradient_of_the_risk_by_finite_differences(shift):
+    rng = np.random.default_rng(4)
+    z, p = rng.normal(size=40), np.arange(40) < 15
+    z[p] += shift
+    z[~p] -= shift
+    u, prior = ~p, 0.3
+    value, gradient = toxicity.risk_and_gradient(z, p, u, prior)
+    soft = np.logaddexp(0, z)
+    rest = soft[u].mean() - prior * soft[p].mean()
+    assert (rest < 0) == (shift > 0)
+    assert np.isclose(value, prior * np.logaddexp(0, -z[p]).mean() + rest if rest >= 0 else -rest)
+    for i in range(len(z)):
+        up, down = z.copy(), z.copy()
+        up[i] += 1e-5
+        down[i] -= 1e-5
+        slope = (toxicity.risk_and_gradient(up, p, u, prior)[0] - toxicity.risk_and_gradient(down, p, u, prior)[0]) / 2e-5
+        assert abs(slope - gradient[i]) < 1e-8
