@@ -55,8 +55,12 @@ def snapshot_date_from_parts(year: str = "año", month: str = "mes", day: str =
     filter (the scan lists and opens just the matching folders).  Invalid
     parts give NULL instead of failing the job under ANSI mode.
     """
-    parts = [F.col(f"`{c}`").cast("string") for c in (year, month, day)]
-    text = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2])  # NULL if a part is
+    text = F.concat_ws(
+        "-",
+        F.col(f"`{year}`").cast("string"),
+        F.col(f"`{month}`").cast("string"),
+        F.col(f"`{day}`").cast("string"),
+    )
     return F.try_to_date(text, "yyyy-M-d")
 
 
