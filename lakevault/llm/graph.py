@@ -11,14 +11,15 @@ from lakevault.llm.common import staged
 def _large_star(e: DataFrame) -> DataFrame:
     """Each node's greater neighbours point to its smallest neighbour (or itself)."""
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # a table of its own: no aggregate lies between the join and its exchanges, so AQE can split a hot node
+    least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours point to the smallest of them."""
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
