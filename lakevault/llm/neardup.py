@@ -51,6 +51,7 @@ CHUNKS, CHUNK = 16, 5
 VALUES = CHUNKS * CHUNK
 ERRORS = 40  # of 80 values; a pair at 80 % differs in 16 on average, deviation 3.6
 BLOCK = 1024  # members of a group that are compared in one place
+LANE = 100_000  # rows of buckets, about, that are searched in one place
 CELL = 256  # members compared with one copy of a text
 
 SIGNATURES = "doc_id bigint, n_shingles bigint, set_hi bigint, set_lo bigint, sig binary"
@@ -354,8 +355,12 @@ def _across(held: DataFrame, comp: DataFrame, classes: DataFrame, texts: DataFra
     c = c.withColumn("component", F.coalesce("component", "doc_id"))
     split = c.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
     split = staged(split.filter("lo <> hi").select("key", "n"), "split-buckets")
+    # a lane's buckets meet in one task, whatever the number of partitions: the forest spans all of them
+    rows = split.agg(F.sum(F.col("n") * F.ceil(F.col("n") / BLOCK))).first()[0] or 0
+    lanes = max(1, -(-int(rows) // LANE))
     c = block_pairs(c, "key", "doc_id", split).join(classes.select("doc_id", "sig"), "doc_id")
-    c = c.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    c = c.withColumn("lane", F.pmod(F.xxhash64("key", "i", "j"), F.lit(lanes)))
+    c = c.repartition("lane").sortWithinPartitions("lane", "key", "i", "j")
     forest = c.select("key", "i", "j", "side", "doc_id", "component", "sig").mapInPandas(_forest, "a bigint, b bigint")
 
     clusters = staged(connected_components(forest).withColumnRenamed("component", "cluster"), "clusters")
