@@ -13,8 +13,10 @@ a gap on both encodings agree exactly: the tokenizer turns runs of white space i
 splits that no token crosses, its normalisation composes nothing across them, and its special strings hold none.  Only ASCII white space
 counts as a gap here; any other is left to the tokenizer inside a word.
 
-Distinct words of a batch are encoded together, without the stop behind an ASCII
-letter, which the tokenizer splits off anyway; a bounded cache keeps their ids.
+Distinct words of a batch are encoded, some at a time, without the stop behind an ASCII
+letter, which the tokenizer splits off anyway; a cache bounded by words and characters keeps
+their ids.  Texts are put together and leave in slices, so that a worker's memory follows
+neither the number of distinct words nor that of the rows of one text.
 
 Edges: NULL and empty texts have no ids and decode to "".  Special strings in
 a text become their tokens, as the library's default has it.  Repeated rows and
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import string
 from collections.abc import Callable, Iterator
@@ -46,9 +49,11 @@ from lakevault.llm.common import staged, staged_matches, table
 WINDOW = 32  # bytes under the rolling hash
 MEAN, LEAST, MOST = 1024, 256, 8192  # bytes of a chunk; MEAN is a power of two
 SLAB = 1 << 20  # bytes hashed together
-GROUP, ROWS = 1 << 22, 5_000  # bytes of text and rows coded together
-WORDS = 200_000  # cached words
-TOGETHER = 2_000  # words of one call
+GROUP, ROWS = 1 << 22, 5_000  # bytes of text and rows whose words are looked up together
+SLICE = 1 << 17  # words and shared ids put together at once
+OUT = 1 << 23  # bytes of ids and decoded texts that leave together, each row of a text counted
+WORDS, LETTERS_KEPT = 200_000, 1 << 22  # cached words and their characters
+TOGETHER = 2_000  # words of one call, whose encodings are in memory together
 STOPS, LETTERS = ".,;:!?", frozenset(string.ascii_letters)  # the tokenizer splits between a letter and a stop
 GAP = re.compile(rb"[ \t\n\r]")
 _FACTOR = 0x9E3779B97F4A7C15
@@ -133,6 +138,7 @@ class WordCoder:
             names = dict(zip(vocabulary.values(), vocabulary))
             self.tokens = pa.array([names.get(i, "") for i in range(max(names) + 1)], pa.large_string())
         self.known: dict[str, bytes] = {}
+        self.letters = 0  # characters of the known words
         self.packers: dict[int, Callable] = {}
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -144,19 +150,23 @@ class WordCoder:
     def learn(self, words: list[str]) -> None:
         """Afterwards ``known`` has these words."""
         known = self.known
-        if len(known) > WORDS:
+        if len(known) > WORDS or self.letters > LETTERS_KEPT:
             known.clear()
             self.packers.clear()
+            self.letters = 0
         new = [w for w in words if w not in known]
         stopped = [w for w in new if w[-1:] in STOPS and w[-2:-1] in LETTERS]
         need = set(new).difference(stopped)
         need.update([w[:-1] for w in stopped])
         need.update(STOPS)
         alone = [w for w in need if w not in known]
-        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            known[w] = self._pack(e.ids)
+        for at in range(0, len(alone), TOGETHER):  # an encoding is far larger than its ids
+            some = alone[at : at + TOGETHER]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[w] = self._pack(e.ids)
         for w in stopped:
             known[w] = known[w[:-1]] + known[w[-1]]
+        self.letters += sum(map(len, alone)) + sum(map(len, stopped))
 
     def encode_part(self, raw: bytes) -> bytes:
         words = pc.ascii_split_whitespace(pa.array([_text(raw)], pa.large_string())).flatten().to_pylist()
@@ -164,10 +174,15 @@ class WordCoder:
         return b"".join([self.known[w] for w in words])
 
     def encode(self, documents: list[list[bytes]]) -> tuple[pa.ListArray, pa.StringArray]:
-        """Ids and decoded texts of documents given as parts (see ``text_parts``).
+        """Ids and decoded texts of documents given as parts (see ``text_parts``)."""
+        ids, texts = zip(*self.encode_slices(documents))
+        return pa.concat_arrays(ids), pa.concat_arrays(texts)
 
-        Words are looked up once per batch; everything that is done for each
-        occurrence of a word is done by arrays.
+    def encode_slices(self, documents: list[list[bytes]]) -> Iterator[tuple[pa.ListArray, pa.StringArray]]:
+        """Ids and decoded texts of documents, some documents at a time.
+
+        Words are looked up once for all documents; everything that is done for each
+        occurrence of a word is done by arrays, which a slice bounds.
         """
         flat = [p for d in documents for p in d]
         texts = [_text(p) for p in flat if type(p) is not Ids]
@@ -177,25 +192,35 @@ class WordCoder:
         self.learn(distinct)
         units = [self.known[w] for w in distinct] + [p for p in flat if type(p) is Ids]
         sizes = np.fromiter(map(len, units), np.int64, len(units)) // self.dtype.itemsize
+        starts, packed = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(units), self.dtype)
 
         # the documents as numbers of units: their words, and shared parts behind the words
         numbers, counts = coded.indices.to_numpy(), np.diff(words.offsets.to_numpy()).tolist()
-        pieces, ends, text_at, word_at, shared_at, at = [], [], 0, 0, len(distinct), 0
-        for d in documents:
+        text_at, word_at, shared_at = 0, 0, len(distinct)
+        del flat, texts, words, coded, distinct, units
+        pieces, ends, at, held = [], [], 0, 0
+        for i, d in enumerate(documents):
             for p in d:
                 if type(p) is Ids:
                     pieces.append(np.array([shared_at], numbers.dtype))
                     shared_at, at = shared_at + 1, at + 1
+                    held += len(p) // self.dtype.itemsize
                 else:
                     n = counts[text_at]
                     pieces.append(numbers[word_at : word_at + n])
                     text_at, word_at, at = text_at + 1, word_at + n, at + n
+                    held += n
             ends.append(at)
-        order = np.concatenate(pieces)
+            if held >= SLICE or i == len(documents) - 1:
+                yield self._put_together(np.concatenate(pieces), ends, sizes, starts, packed)
+                pieces, ends, at, held = [], [], 0, 0
+
+    def _put_together(self, order, ends, sizes, starts, packed) -> tuple[pa.ListArray, pa.StringArray]:
+        """Ids and decoded texts of documents that end at these places of ``order``, the numbers of their units."""
         own = sizes[order]
         id_ends = np.concatenate([[0], np.cumsum(own)])
-        shift = np.concatenate([[0], np.cumsum(sizes)])[order] - id_ends[:-1]
-        ids = np.frombuffer(b"".join(units), self.dtype)[np.repeat(shift, own) + np.arange(id_ends[-1])].astype(np.int32)
+        shift = starts[order] - id_ends[:-1]
+        ids = packed[np.repeat(shift, own) + np.arange(id_ends[-1])].astype(np.int32)
         ends_out = pa.array(id_ends[[0, *ends]], pa.int32())
         ids_out = pa.ListArray.from_arrays(ends_out, pa.array(ids))
         if self.tokens is None:
@@ -212,6 +237,8 @@ def _coder(spec: str) -> WordCoder:
     """One coder per worker process and vocabulary."""
     name = hashlib.sha256(spec.encode()).hexdigest()
     if name not in _CODERS:
+        # a task has one core, and threads of the library would each keep memory
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _CODERS.clear()
         _CODERS[name] = WordCoder(spec)
     return _CODERS[name]
@@ -244,10 +271,11 @@ def _references(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct chunks of each text that have an inner part."""
     for batch in batches:
         routes, places, digests = [], [], []
-        for route, place, raw in zip(*[batch.column(c).to_pylist() for c in ("route", "place", "raw")]):
+        for route, place, text in zip(*[batch.column(c) for c in ("route", "place", "raw")]):
+            raw = text.as_py()
             found = {hashlib.sha256(c).digest() for c in chunks_of(raw) if inner_part(c)}
-            routes += [route] * len(found)
-            places += [place] * len(found)
+            routes += [route.as_py()] * len(found)
+            places += [place.as_py()] * len(found)
             digests += found
         yield pa.RecordBatch.from_arrays(
             [pa.array(routes, pa.int64()), pa.array(places, pa.int64()), pa.array(digests, pa.binary())], names=["route", "place", "chunk"])
@@ -259,8 +287,8 @@ def _encode_chunks(spec: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(spec)
         for batch in batches:
-            for raw, wanted in zip(batch.column("raw").to_pylist(), batch.column("wanted").to_pylist()):
-                wanted = set(wanted)
+            for text, names in zip(batch.column("raw"), batch.column("wanted")):
+                raw, wanted = text.as_py(), set(names.as_py())
                 ids = {}
                 for chunk in chunks_of(raw):
                     name = hashlib.sha256(chunk).digest()
@@ -276,7 +304,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed for the exchange."""
     for batch in batches:
         press = zstandard.ZstdCompressor(level=3)
-        packed = pa.array([press.compress(raw) for raw in batch.column("raw").to_pylist()], pa.binary())
+        packed = pa.array([press.compress(text.as_py()) for text in batch.column("raw")], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("route"), packed], names=["id", "route", "packed"])
 
 
@@ -287,9 +315,16 @@ def _assemble(spec: str) -> Callable:
         coder = _coder(spec)
 
         def finish(keys, which, documents):
-            ids, texts = coder.encode(documents)
-            rows = pa.array(which, pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), ids.take(rows), texts.take(rows)], names=["id", "ids", "decoded"])
+            rows, first = np.array(which, np.int32), 0
+            for ids, texts in coder.encode_slices(documents):
+                at, end = np.searchsorted(rows, [first, first + len(ids)]).tolist()
+                sizes = 4 * pc.list_value_length(ids).to_numpy().astype(np.int64) + pc.binary_length(texts).to_numpy()
+                sizes = sizes[rows[at:end] - first]
+                cuts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // OUT)) + at + 1
+                for a, b in zip([at, *cuts], [*cuts, end]):
+                    own = pa.array(rows[a:b] - first)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[a:b], pa.int64()), ids.take(own), texts.take(own)], names=["id", "ids", "decoded"])
+                first += len(ids)
 
         for batch in batches:
             unpress = zstandard.ZstdDecompressor()
@@ -305,10 +340,10 @@ def _assemble(spec: str) -> Callable:
                 keys.append(key)
                 which.append(len(documents) - 1)
                 if size >= GROUP or len(keys) >= ROWS:
-                    yield finish(keys, which, documents)
+                    yield from finish(keys, which, documents)
                     keys, which, documents, size, last = [], [], [], 0, None
             if keys:
-                yield finish(keys, which, documents)
+                yield from finish(keys, which, documents)
 
     return run
 

@@ -7,7 +7,9 @@ import sys
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import zstandard
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -105,3 +107,49 @@ def test_real_outputs_and_no_rows(spark, spec, library):
     ids = library.encode("Hello <|endoftext|> it's", add_special_tokens=False).ids
     assert got == {1: (ids, library.decode(ids, skip_special_tokens=False)), 2: ([], "")}
     assert chunkbpe.encode_documents(empty(spark), spec).count() == 0
+
+
+class Counted:
+    """A tokenizer that notes how many words each call gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, []
+
+    def encode_batch_fast(self, words, **options):
+        self.calls.append(len(words))
+        return self.tokenizer.encode_batch_fast(words, **options)
+
+
+def test_encodings_of_many_distinct_words_are_not_held_together(spec, library):
+    coder = chunkbpe.WordCoder(spec)
+    coder.tokenizer = counted = Counted(coder.tokenizer)
+    text = " ".join(f"w{i}x{i * 7 % 1000}" for i in range(3 * chunkbpe.TOGETHER))
+    ids, _ = coder.encode([[text.encode()]])
+    assert ids.to_pylist() == [library.encode(text, add_special_tokens=False).ids]
+    assert max(counted.calls) <= chunkbpe.TOGETHER < sum(counted.calls)
+
+
+def test_long_words_leave_the_cache(spec, library):
+    coder = chunkbpe.WordCoder(spec)
+    for k in range(6):
+        text = " ".join(f"{k}a{i}" + "ab" * 50_000 for i in range(20))
+        ids, _ = coder.encode([[text.encode()]])
+    assert ids.to_pylist() == [library.encode(text, add_special_tokens=False).ids]
+    assert sum(map(len, coder.known)) <= chunkbpe.LETTERS_KEPT + len(text)
+
+
+def test_rows_of_one_long_text_leave_in_bounded_batches(spec, library):
+    rng = random.Random(3)
+    long = " ".join(rng.choice(["some", "words", "of", "a", "text."]) + str(rng.randint(0, 9)) for _ in range(20_000))
+    texts = ["a first text", *[long] * 200, "another text", ""]
+    press = zstandard.ZstdCompressor()
+    packed = [press.compress(t.encode()) for t in texts]
+    shared = pa.nulls(len(texts), pa.list_(pa.struct([("chunk", pa.binary()), ("ids", pa.binary())])))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), "int64"), pa.array(packed), shared], names=["id", "packed", "shared"])
+    want = {t: library.encode(t, add_special_tokens=False).ids for t in set(texts)}
+    row = 4 * len(want[long]) + len(library.decode(want[long], skip_special_tokens=False))
+    got = []
+    for out in chunkbpe._assemble(spec)(iter([batch])):
+        assert sum(4 * len(r["ids"]) + len(r["decoded"]) for r in out.to_pylist()) <= chunkbpe.OUT + row
+        got += [(r["id"], r["ids"], r["decoded"]) for r in out.to_pylist()]
+    assert got == [(i, want[t], library.decode(want[t], skip_special_tokens=False)) for i, t in enumerate(texts)]
